@@ -105,7 +105,7 @@ def trim(text: Column, counters: list[tuple[Callable[[Column], Column], int]], p
             out = out & (count(F.array_join(F.slice(tags, F.lit(1), k), ", ")) <= limit)
         return out
 
-    best = F.get(F.filter(F.sequence(F.size(tags), F.lit(1), F.lit(-1)), fits), F.lit(0))
+    best = F.get(F.filter(F.sequence(F.greatest(F.size(tags), F.lit(1)), F.lit(1), F.lit(-1)), fits), F.lit(0))
     some = F.size(tags) > 0
     kept = F.array_join(F.slice(tags, F.lit(1), F.coalesce(best, F.lit(1))), ", ")
     return F.struct(

@@ -45,7 +45,8 @@ def consumed(candidates: DataFrame, plan: DataFrame) -> tuple[DataFrame | None,
     """
     first = written(candidates.where("hash IS NOT NULL").groupBy("shard_id", "hash").agg(F.min("attempt").alias("attempt")), "first-of-shard")
     ends = candidates.groupBy("shard_id").agg(F.max("attempt").alias("end"))
-    cuts = plan.join(ends, "shard_id", "left").select("shard_id", F.when(F.col("wanted") > 0, F.coalesce("end", F.lit(-1))).otherwise(-1).cast("long").alias("cut"))
+    plan = plan.join(ends, "shard_id", "left").select("shard_id", "wanted", F.coalesce("end", F.lit(-1)).cast("long").alias("end"))
+    cuts = plan.select("shard_id", F.when(F.col("wanted") > 0, F.col("end")).otherwise(-1).alias("cut"))
     total, different = first.agg(F.count("*"), F.count_distinct("hash")).first()
     by_attempt = Window.partitionBy("shard_id").orderBy("attempt")
     while True:
@@ -56,10 +57,13 @@ def consumed(candidates: DataFrame, plan: DataFrame) -> tuple[DataFrame | None,
             fresh = first.join(live, "hash", "left").where("owner IS NULL OR owner >= shard_id").select("shard_id", "hash", "attempt")
         placed = fresh.withColumn("record_idx", (F.row_number().over(by_attempt) - 1).cast("long"))
         last = placed.join(plan, "shard_id").where("record_idx = wanted - 1").select("shard_id", F.col("attempt").cast("long").alias("cut"))
-        new = written(plan.join(last, "shard_id", "left").select("shard_id", F.when(F.col("wanted") > 0, F.col("cut")).otherwise(-1).cast("long").alias("cut")), "cuts")
-        if new.where("cut IS NULL").limit(1).count():
-            return None, placed
+        short = (F.col("wanted") > 0) & F.col("cut").isNull()  # it may still be filled once earlier shards give hashes back
+        cut = F.when(F.col("wanted") > 0, F.coalesce("cut", "end")).otherwise(-1)
+        found = written(plan.join(last, "shard_id", "left").select("shard_id", cut.alias("cut"), short.alias("short")), "cuts")
+        new = found.select("shard_id", "cut")
         if total == different or not new.exceptAll(cuts).limit(1).count():
+            if found.where("short").limit(1).count():
+                return None, placed
             accepted = placed.join(plan, "shard_id").where("record_idx < wanted").select("shard_id", "attempt", "hash", "record_idx")
             return new, accepted
         cuts = new

@@ -139,7 +139,7 @@ def test_gates_find_each_damage(spark):
     found = {r["name"]: r for r in gates.validate(spark.createDataFrame(rows, "id string, png binary, json string"), 6, 6, 16).collect()}
     assert not any(found[n].passed for n in ("image_integrity", "metadata", "coverage", "completion")) and found["count"].passed
     told = found["image_integrity"].failures
-    assert len(told) == 5 and "size 8x8, expected 16x16" in told[3] and "missing PNG data" in told[2]
+    assert len(told) == 5 and "missing PNG data" in told[1] and "size 8x8, expected 16x16" in told[2]
     assert len(found["metadata"].failures) == 3
     assert found["coverage"].failures == ["Missing 1 samples: s0000-r0005", "Extra 1 samples: s0009-r0000"]
     report = gates.run_report([r.asDict() for r in found.values()], 6, 6, "m", "now", 3.0)

@@ -32,10 +32,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each component stays; rows that repeat it too stay as one."""
     found = materialize(simhash.near_duplicates(docs), "near-duplicates")
-    ids = found.where("doc_id <=> component_id").select("doc_id").distinct()
+    ids = found.where("doc_id <=> component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
     kept = _keep(docs, ids)
-    repeated = kept.groupBy("doc_id").count().where("count > 1").limit(1).count()
-    if not repeated:
+    if not ids.where("n > 1").limit(1).count():
         return kept
     order = Window.partitionBy("doc_id").orderBy("text", "lang", "source", "n_chars")
     return kept.withColumn("n", F.row_number().over(order)).where("n = 1").select(*COLUMNS)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveworks.llm.common import pick
+from sieveworks.llm.common import materialize, pick
 
 VERSION = "WARC/1.1"
 EOL = "\r\n"
@@ -62,11 +62,12 @@ def write(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
     table writes no records.  Extra columns are ignored.
 
     Only (digest, smallest page_id) is aggregated, with partial sums first, and
-    the payloads are joined to that, where Spark splits a frequent digest.
+    written; the payloads are joined to that table, where Spark can split a
+    frequent digest, since no aggregation is tied to the join's partitions.
     """
     rows = pick(pages, page_id="long", url="string", html="string")
     rows = rows.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html")).withColumn("digest", sha1_base32(F.col("html")))
-    firsts = rows.groupBy(F.col("digest").alias("of")).agg(F.min("page_id").alias("first_id"))
+    firsts = materialize(rows.groupBy(F.col("digest").alias("of")).agg(F.min("page_id").alias("first_id")), "payloads")
     page = rows.join(firsts.hint("shuffle_hash"), rows.digest == firsts.of)
     revisit = (F.octet_length("html") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     uri = F.col("url")
@@ -191,5 +192,7 @@ def captures(spark: SparkSession, path: str) -> DataFrame:
         F.when(F.col("response").isNotNull(), "response").otherwise("revisit").alias("record_type"),
     )
     rows = rows.select(F.expr("try_cast(page AS BIGINT)").alias("page_id"), "record_type", F.col("answer.record_id").alias("id"), F.col("answer.payload_digest").alias("payload_digest"), F.col("answer.payload_bytes").alias("own_bytes"), F.col("answer.refers_to").alias("to"))
-    original = rows.where("record_type = 'response'").select(F.col("id").alias("original"), F.col("page_id").alias("original_page"), F.col("own_bytes").alias("original_bytes")).dropDuplicates(["original"])
+    rows = materialize(rows, "captures")
+    original = rows.where("record_type = 'response'").select(F.col("id").alias("original"), F.col("page_id").alias("original_page"), F.col("own_bytes").alias("original_bytes"))
+    original = materialize(original.groupBy("original").agg(F.min("original_page").alias("original_page"), F.min("original_bytes").alias("original_bytes")), "originals")
     return rows.join(original, F.col("to") == F.col("original"), "left").select("page_id", F.coalesce("own_bytes", "original_bytes").alias("payload_bytes"), "payload_digest", "record_type", F.col("original_page").alias("refers_to"))

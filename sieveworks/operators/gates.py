@@ -26,6 +26,14 @@ def _gate(name: str, passed: Column, details: Column, failures: Column) -> list[
     return [F.lit(name).alias("name"), passed.alias("passed"), details.alias("details"), failures.alias("failures")]
 
 
+def _together(*ones: DataFrame) -> DataFrame:
+    """Frames of one row each as one row with all their columns."""
+    rows = ones[0]
+    for x in ones[1:]:
+        rows = rows.unionByName(x, allowMissingColumns=True)
+    return rows.agg(*[F.max(c).alias(c) for c in rows.columns])
+
+
 def first_failures(rows: DataFrame, message: str, key: str, most: int = LISTED) -> DataFrame:
     """LIM-2: one row (n, failures): the number of messages, and the first of them by key.
 
@@ -34,7 +42,7 @@ def first_failures(rows: DataFrame, message: str, key: str, most: int = LISTED)
     """
     bad = rows.where(F.col(message).isNotNull())
     top = bad.orderBy(key, message).limit(most).agg(F.transform(F.array_sort(F.collect_list(F.struct(key, message))), lambda x: x[message]).alias("failures"))
-    return bad.agg(F.count("*").alias("n")).join(top)  # one row each
+    return _together(bad.agg(F.count("*").alias("n")), top)
 
 
 def count_gate(samples: DataFrame, target: int) -> DataFrame:
@@ -68,7 +76,7 @@ def _failing_gate(name: str, rows: DataFrame, what: str) -> DataFrame:
     """A gate that fails if any row (id, problem) has a problem."""
     told = rows.select("id", F.when(F.col("problem").isNotNull(), F.concat_ws(": ", "id", "problem")).alias("message"))
     n = told.agg(F.count("*").alias("total"))
-    found = first_failures(told, "message", "id").join(n)  # one row each
+    found = _together(first_failures(told, "message", "id"), n)
     details = F.concat(F.lit("Checked "), F.col("total").cast("string"), F.lit(f" {what}, "), F.col("n").cast("string"), F.lit(" failures"))
     return found.select(*_gate(name, F.col("n") == 0, details, F.coalesce("failures", F.array().cast("array<string>"))))
 
@@ -95,7 +103,7 @@ def coverage_gate(samples: DataFrame, target: int, size: int) -> DataFrame:
         line = F.concat(F.lit(f"{kind.capitalize()} "), F.col("n").cast("string"), F.lit(" samples: "), F.array_join("failures", ", "))
         parts.append(first_failures(mine, "message", "id", SHOWN).select(F.when(F.col("n") > 0, F.array(line)).otherwise(none).alias(kind)))
     actual = samples.agg(F.count_distinct("id").alias("actual"))
-    both = parts[0].join(parts[1]).join(actual)  # one row each
+    both = _together(*parts, actual)
     failures = F.concat("missing", "extra")
     return both.select(*_gate("coverage", F.size(failures) == 0, F.concat(F.lit(f"Expected {target} IDs, found "), F.col("actual").cast("string")), failures))
 

@@ -1,13 +1,15 @@
-"""What the operators share: column picking, shared scratch space, word patterns."""
+"""What the operators share: column picking, and tables in the folder that all executors share."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sieveworks.session import shared_folder as scratch
+from sieveworks.session import written as materialize
+
+__all__ = ["materialize", "pick", "scratch"]
+
 
 def pick(df: DataFrame, **kinds: str) -> DataFrame:
     """The named columns of df, cast to the given types, and nothing else.
@@ -29,25 +31,3 @@ def pick(df: DataFrame, **kinds: str) -> DataFrame:
             raise ValueError(f"column {name} is missing; there are {names}")
         out.append(F.col(f"c{at}").cast(kind).alias(name))
     return safe.select(*out)
-
-
-def scratch(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    own = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if root is None and not own.isDefined():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sieveworks-"))
-        own = spark.sparkContext._jsc.sc().getCheckpointDir()
-    return (root or own.get()).rstrip("/")
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """df written once as Parquet in the shared folder and read back.
-
-    Cuts the lineage: a lost executor costs a reread, and no consumer computes
-    df again.  Use it for what several consumers read.
-    """
-    spark = df.sparkSession
-    path = f"{scratch(spark)}/sieveworks/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)

@@ -36,6 +36,7 @@ MIN_COSINE = 0.45
 SAME = 0.8  # of an item's words in the common subsequence: a copy
 PARAPHRASE = 0.6  # and the answer there: a paraphrase
 ANSWER = 5  # last words of an item, at most a third of it
+AT_ONCE, ITEMS = 1 << 14, 1 << 10  # blocks and items compared at once
 SHORT = 8  # items with fewer words are looked up as sequences
 MOST_ITEM_BYTES = 64 << 20  # of benchmark text that a task may hold
 U = np.uint64
@@ -143,7 +144,7 @@ class Items:
             words, owner = hashed(part)
             begin, _ = places(owner, len(part))
             self.words += [(rows[first + i][0], words[begin[i] : begin[i + 1]]) for i in range(len(part))]
-        self.classes: dict[int, tuple[list[int], np.ndarray]] = {}
+        self.classes: list[tuple[int, list[int], np.ndarray]] = []  # blocks, items, their vectors
         self.short: dict[int, dict[int, list[int]]] = {}
         by: dict[int, list[int]] = {}
         span = SpanHash(24)
@@ -156,7 +157,9 @@ class Items:
         for blocks, members in by.items():
             vectors = np.stack([latent[(self.words[i][1] % U(FEATURES)).astype(np.int64)].sum(axis=0) for i in members])
             norms = np.linalg.norm(vectors, axis=1, keepdims=True)
-            self.classes[blocks] = (members, np.ascontiguousarray((vectors / np.maximum(norms, 1e-30)).T, np.float32))
+            vectors = np.ascontiguousarray((vectors / np.maximum(norms, 1e-30)).T, np.float32)
+            self.classes += [(blocks, members[i : i + ITEMS], vectors[:, i : i + ITEMS]) for i in range(0, len(members), ITEMS)]
+        self.longest = max(by, default=0)
 
 
 def judged(item: list[int], passage: list[int]) -> tuple[float, bool]:
@@ -209,32 +212,33 @@ def find(documents: DataFrame, benchmark: DataFrame, latent: np.ndarray | None =
                         best[text, i] = (kind, common, answer, cosine, at)
 
                 cut = np.flatnonzero(place % BLOCK == 0)
-                vector = latent[(words % U(FEATURES)).astype(np.int64)]
-                blocks = np.add.reduceat(vector, cut, axis=0)
-                del vector
                 of_block = owner[cut]
                 last = np.searchsorted(of_block, of_block, side="right")
-                total = np.concatenate([np.zeros((1, blocks.shape[1])), np.cumsum(blocks, axis=0, dtype=np.float64)])
-                number = np.arange(len(cut))
-                for length, (members, vectors) in held.classes.items():
-                    # At a text's end windows are shorter.
-                    ends = np.minimum(number + length, last)
-                    window = (total[ends] - total[number]).astype(np.float32)
-                    size = np.maximum(np.sqrt(np.einsum("ij,ij->i", window, window)), 1e-30)
-                    cosines = window @ vectors
-                    near_block, near_item = np.nonzero(cosines >= MIN_COSINE * size[:, None])
-                    for k in np.unique(near_item).tolist():
-                        i, b = members[k], near_block[near_item == k]
-                        item = held.words[i][1]
-                        a, z = cut[b], np.minimum(cut[b] + length * BLOCK, begin[of_block[b] + 1])
-                        at = a[:, None] + np.arange(length * BLOCK)
-                        # No common subsequence is longer than the number of passage words that the item has.
-                        shared = (np.isin(words[np.minimum(at, len(words) - 1)], item) & (at < z[:, None])).sum(axis=1)
-                        for c in np.flatnonzero(shared >= PARAPHRASE * len(item)).tolist():
-                            text = int(of_block[b[c]])
-                            common, answer = judged(item.tolist(), words[a[c] : z[c]].tolist())
-                            if common >= SAME or common >= PARAPHRASE and answer:
-                                keep(text, i, "copy" if common >= SAME else "paraphrase", common, answer, float(cosines[b[c], k] / size[b[c]]), int(a[c] - begin[text]))
+                for first in range(0, len(cut), AT_ONCE):
+                    to = min(len(cut), first + AT_ONCE + held.longest)
+                    a, z = cut[first], cut[to] if to < len(cut) else len(words)
+                    blocks = np.add.reduceat(latent[(words[a:z] % U(FEATURES)).astype(np.int64)], cut[first:to] - a, axis=0)
+                    total = np.concatenate([np.zeros((1, blocks.shape[1])), np.cumsum(blocks, axis=0, dtype=np.float64)])
+                    number = np.arange(min(AT_ONCE, len(cut) - first))
+                    for length, members, vectors in held.classes:
+                        # At a text's end windows are shorter.
+                        ends = np.minimum(number + length, last[first + number] - first)
+                        window = (total[ends] - total[number]).astype(np.float32)
+                        size = np.maximum(np.sqrt(np.einsum("ij,ij->i", window, window)), 1e-30)
+                        cosines = window @ vectors
+                        near_block, near_item = np.nonzero(cosines >= MIN_COSINE * size[:, None])
+                        for k in np.unique(near_item).tolist():
+                            i, near = members[k], near_block[near_item == k]
+                            item, b = held.words[i][1], near + first
+                            a, z = cut[b], np.minimum(cut[b] + length * BLOCK, begin[of_block[b] + 1])
+                            at = a[:, None] + np.arange(length * BLOCK)
+                            # No common subsequence is longer than the number of passage words that the item has.
+                            shared = (np.isin(words[np.minimum(at, len(words) - 1)], item) & (at < z[:, None])).sum(axis=1)
+                            for c in np.flatnonzero(shared >= PARAPHRASE * len(item)).tolist():
+                                text = int(of_block[b[c]])
+                                common, answer = judged(item.tolist(), words[a[c] : z[c]].tolist())
+                                if common >= SAME or common >= PARAPHRASE and answer:
+                                    keep(text, i, "copy" if common >= SAME else "paraphrase", common, answer, float(cosines[near[c], k] / size[near[c]]), int(a[c] - begin[text]))
                 for n, wanted in held.short.items():
                     at = np.arange(max(len(words) - n + 1, 0))
                     at = at[owner[at] == owner[at + n - 1]]

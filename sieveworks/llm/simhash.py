@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sieveworks.llm.common import materialize, pick
+from sieveworks.llm.common import materialize, pick, scratch
 
 GENERATOR = 0b101011100011  # of the (23, 12) Golay code
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit and width
@@ -167,6 +167,7 @@ def components(edges: DataFrame) -> DataFrame:
     Alternates large-star and small-star steps (Kiveris et al. 2014), each a
     partial aggregation and a join, until the edges stay as they are.
     """
+    scratch(edges.sparkSession)
     edges = edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().checkpoint()
     told = None
     while True:

@@ -31,17 +31,24 @@ def sub_seed(base_seed: Column, shard_id: Column, attempt: Column) -> Column:
     return F.pmod(hashed(F.concat_ws(":", base_seed, shard_id, attempt)), F.lit(SEEDS))
 
 
-def weighted(key: Column, options: list[tuple[str, float]]) -> Column:
-    """GEN-6: the first option whose cumulative weight exceeds u times the total."""
+def weighted_at(u: Column, options: list[tuple[str, float]]) -> Column:
+    """GEN-6: the first option whose cumulative weight exceeds u times the total.
+
+    A chain of comparisons, which compiles; u is best a column of its own, since
+    every comparison refers to it.
+    """
     if not options or any(w < 0 for _, w in options) or not sum(w for _, w in options) > 0:
         raise ValueError("a weighted draw needs options with a positive total weight")
-    ends, total = [], 0.0
-    for _, w in options:
-        total += w
-        ends.append(total)
-    table = F.array(*[F.struct(F.lit(e).alias("end"), F.lit(v).alias("value")) for e, (v, _) in zip(ends, options)])
-    at = uniform(key) * F.lit(total)
-    return F.get(F.filter(table, lambda o: o["end"] > at), F.lit(0))["value"]
+    total, end, out = sum(w for _, w in options), 0.0, None
+    for v, w in options:
+        end += w
+        test = F.lit(end) > u * F.lit(total)
+        out = F.when(test, v) if out is None else out.when(test, v)
+    return out.otherwise([v for v, w in options if w > 0][-1])
+
+
+def weighted(key: Column, options: list[tuple[str, float]]) -> Column:
+    return weighted_at(uniform(key), options)
 
 
 def weighted_subset(key: Column, options: list[tuple[str, float]], sizes: tuple[int, int] = STYLE_SIZES) -> Column:

@@ -15,14 +15,14 @@ DETAILED_EYES = "detailed eyes"
 DETAILED_EYE_VALUES = ("heterochromia", "glowing eyes", "sparkling eyes", "empty eyes")
 DEFAULT_MAX_LENGTH, SENTINEL_LENGTH = 77, 4096
 
-# Unicode white space as Python's str.strip() has it: (?U)\s lacks the four separators.
-_EDGES = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 PLAIN_SPACE = " \t\n\r"
+#: What Python's str.strip() takes off.
+SPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
 def strip(text: Column, plain: bool = False) -> Column:
     """Without white space at the ends; plain: only blank, tab, line feed and carriage return, as SQL trims."""
-    return F.btrim(text, F.lit(PLAIN_SPACE)) if plain else F.regexp_replace(text, _EDGES, "")
+    return F.btrim(text, F.lit(PLAIN_SPACE if plain else SPACE))
 
 
 def tokens(text: Column, plain: bool = False) -> Column:
@@ -30,14 +30,22 @@ def tokens(text: Column, plain: bool = False) -> Column:
     return F.transform(F.split(text, ",", -1), lambda t: F.lower(strip(t, plain)))
 
 
-def canonical(text: Column, plain: bool = False) -> Column:
+def canonical_of(tokens: Column) -> Column:
     """PRJ-4: tokens that aren't empty, sorted, joined by a vertical bar; repeats stay."""
-    return F.array_join(F.array_sort(F.filter(tokens(text, plain), lambda t: t != "")), "|")
+    return F.array_join(F.array_sort(F.filter(tokens, lambda t: t != "")), "|")
 
 
-def canonical_hash(text: Column, plain: bool = False) -> Column:
+def hash_of(tokens: Column) -> Column:
     """PRJ-5: 16 hexadecimal digits of the canonical form's SHA-256."""
-    return F.substring(F.sha2(canonical(text, plain), 256), 1, 16)
+    return F.substring(F.sha2(canonical_of(tokens), 256), 1, 16)
+
+
+def canonical(text: Column, plain: bool = False) -> Column:
+    return canonical_of(tokens(text, plain))
+
+
+def canonical_hash(text: Column, plain: bool = False) -> Column:
+    return hash_of(tokens(text, plain))
 
 
 def _strings(values) -> Column:

@@ -7,7 +7,7 @@ import datetime
 import json
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sieveworks.functions import draws, text
@@ -31,24 +31,23 @@ class Run:
     exhausted: DataFrame  # shard_id, exhausted
 
 
-def components(key: Column, vocabulary: dict) -> list[Column]:
+def with_components(rows: DataFrame, vocabulary: dict) -> DataFrame:
     """GEN-8: every part of a record, drawn from the row's seed alone."""
-    out = []
-    for name in config.COMPONENTS:
-        at, options = F.concat_ws(":", key, F.lit(name)), config.options(vocabulary, name)
-        if name == "style_modifiers":
-            high = min(draws.STYLE_SIZES[1], len({v for v, w in options if w > 0}))
-            out.append(draws.weighted_subset(at, options, (min(draws.STYLE_SIZES[0], high), high)).alias(name))
-        else:
-            out.append(draws.weighted(at, options).alias(name))
-    return out
+    single = [c for c in config.COMPONENTS if c != "style_modifiers"]
+    key = {c: F.concat_ws(":", F.col("seed"), F.lit(c)) for c in config.COMPONENTS}
+    drawn = rows.select("*", *[draws.uniform(key[c]).alias(f"_u_{c}") for c in single])
+    styles = config.options(vocabulary, "style_modifiers")
+    high = min(draws.STYLE_SIZES[1], len({v for v, w in styles if w > 0}))
+    subset = draws.weighted_subset(key["style_modifiers"], styles, (min(draws.STYLE_SIZES[0], high), high))
+    made = {c: draws.weighted_at(F.col(f"_u_{c}"), config.options(vocabulary, c)) for c in single} | {"style_modifiers": subset}
+    return drawn.select(*rows.columns, *[made[c].alias(c) for c in config.COMPONENTS])
 
 
 def candidates(spark: SparkSession, vocabulary: dict, negatives: dict, seed: int, n_shards: int, attempts: int) -> DataFrame:
     """Every shard's first attempts, with prompts, the reason of rejection (null: none) and the canonical hash."""
     grid = spark.range(n_shards * attempts).select(F.expr(f"id div {attempts}").alias("shard_id"), (F.col("id") % attempts).alias("attempt"))
     drawn = grid.withColumn("seed", draws.sub_seed(F.lit(seed), F.col("shard_id"), F.col("attempt")))
-    drawn = drawn.select("*", *components(F.col("seed"), vocabulary))
+    drawn = with_components(drawn, vocabulary)
     made = drawn.withColumn("positive_prompt", text.positive()).withColumn("negative_prompt", text.negative(negatives)).withColumn("tokens", text.tokens(F.col("positive_prompt")))
     reason = rules.first_reason(
         {
@@ -58,7 +57,7 @@ def candidates(spark: SparkSession, vocabulary: dict, negatives: dict, seed: int
             "lint_semantic": F.size(rules.semantic_lint(F.col("tokens"))) > 0,
         }
     )
-    return made.withColumn("reason", reason).withColumn("hash", F.when(F.col("reason").isNull(), text.canonical_hash(F.col("positive_prompt")))).drop("tokens")
+    return made.withColumn("reason", reason).withColumn("hash", F.when(F.col("reason").isNull(), text.hash_of(F.col("tokens")))).drop("tokens")
 
 
 def generate(spark: SparkSession, vocabulary: dict, negatives: dict, seed: int, count: int, n_shards: int) -> Run:
@@ -91,8 +90,8 @@ def generate(spark: SparkSession, vocabulary: dict, negatives: dict, seed: int,
     counts = told.where("reason IS NOT NULL").groupBy("reason").agg(F.count("*").alias("n"))
     given_up = exhausted.agg(F.coalesce(F.sum("exhausted"), F.lit(0)).alias("n")).where("n > 0").select(F.lit("exhausted").alias("reason"), "n")
     rejected = written(counts.unionByName(given_up), "rejected").orderBy(F.desc("n"), "reason")
-    drawn = accepted.withColumn("seed", draws.sub_seed(F.lit(seed), F.col("shard_id"), F.col("attempt"))).select("shard_id", "record_idx", "seed", *components(F.col("seed"), vocabulary))
-    records = drawn.withColumn("id", shards.sample_id(F.col("shard_id"), F.col("record_idx"))).withColumn("positive_prompt", text.positive()).withColumn("negative_prompt", text.negative(negatives))
+    seeded = accepted.withColumn("seed", draws.sub_seed(F.lit(seed), F.col("shard_id"), F.col("attempt"))).select("shard_id", "record_idx", "seed")
+    records = with_components(seeded, vocabulary).withColumn("id", shards.sample_id(F.col("shard_id"), F.col("record_idx"))).withColumn("positive_prompt", text.positive()).withColumn("negative_prompt", text.negative(negatives))
     return Run(records, rejected, exhausted)
 
 

@@ -10,10 +10,11 @@ coordinates (document, first word, number of edges).
 Records meet by minimizer in a Spark aggregation with partial sums and a join:
 
 - one document only: nothing repeats, the record goes;
-- all records equal (the path does not branch): each repeats the whole path of
-  the smallest document, and all its words from the coordinates on are covered;
-- different records (the path branches there): it is taken apart into its edges,
-  which meet by 128-bit hash, again in an aggregation and a join.
+- equal records: each repeats the whole path of the smallest document that has
+  it, and all its words from the coordinates on are covered;
+- different records (paths branch there): of each, that of the smallest document
+  is taken apart into its edges, which meet by 128-bit hash, again in an
+  aggregation and a join.
 
 Spans so verified come back to their documents by their coordinates.
 """
@@ -110,9 +111,16 @@ def repeated_spans(documents: DataFrame, window: int = WINDOW) -> DataFrame:
 
     found = documents.select("key", "doc", "text").mapInArrow(records, "key long, doc long, m long, x long, at long")
     shared = found.groupBy(F.col("m").alias("of")).agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.min("x").alias("xl"), F.max("x").alias("xh")).where("low < high").select("of", "low", (F.col("xl") == F.col("xh")).alias("plain"))
-    met = found.select("key", "doc", "m", "at").join(shared, F.col("m") == F.col("of")).where("NOT plain OR doc > low")
+    # Tables to join with are written, so that no aggregation is tied to the join's partitions and Spark can split a frequent minimizer.
+    shared = materialize(shared, "shared").hint("shuffle_hash")
+    met = materialize(found.join(shared, F.col("m") == F.col("of")).where("NOT plain OR doc > low").select("key", "doc", "m", "x", "at", "plain"), "met")
+    # Where paths branch, equal ones repeat that of the smallest document; only that one is taken apart.
+    branching = met.where("NOT plain")
+    lows = materialize(branching.groupBy(F.col("m").alias("of"), F.col("x").alias("ox")).agg(F.min("doc").alias("low")), "lows").hint("shuffle_hash")
+    decided = branching.join(lows, (F.col("m") == F.col("of")) & (F.col("x") == F.col("ox"))).select("key", "at", (F.col("doc") > F.col("low")).alias("repeats"))
+    decided = decided.unionAll(met.where("plain").select("key", "at", F.lit(True)))
     # A document's own records: no more than its words.
-    owned = materialize(met.groupBy("key").agg(F.collect_list(F.when(F.col("plain"), F.col("at"))).alias("whole"), F.collect_list(F.when(~F.col("plain"), F.col("at"))).alias("branch")), "paths")
+    owned = materialize(decided.groupBy("key").agg(F.collect_list(F.when(F.col("repeats"), F.col("at"))).alias("whole"), F.collect_list(F.when(~F.col("repeats"), F.col("at"))).alias("branch")), "paths")
 
     def taken_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         paths = Paths(window)
@@ -134,7 +142,8 @@ def repeated_spans(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     branching = owned.where("size(branch) > 0").select(F.col("key").alias("k"), "branch").hint("shuffle_hash")
     apart = documents.join(branching, F.col("key") == F.col("k")).select("key", "doc", "text", "branch").mapInArrow(taken_apart, "key long, doc long, e1 long, e2 long, at long")
     apart = materialize(apart, "edges")
-    edges = apart.groupBy(F.col("e1").alias("f1"), F.col("e2").alias("f2")).agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high")
+    edges = apart.groupBy(F.col("e1").alias("f1"), F.col("e2").alias("f2")).agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("f1", "f2", "low")
+    edges = materialize(edges, "repeated-edges").hint("shuffle_hash")
     parts = apart.join(edges, (F.col("e1") == F.col("f1")) & (F.col("e2") == F.col("f2"))).where("doc > low").groupBy(F.col("key").alias("k")).agg(F.collect_list("at").alias("parts"))
     return owned.where("size(whole) > 0").select("key", "whole").join(parts, F.col("key") == F.col("k"), "full_outer").select(F.coalesce("key", "k").alias("key"), "whole", "parts")
 

@@ -33,11 +33,15 @@ def incompatible(rules: list[dict], columns: list[str]) -> Column:
 def compatible(rows: DataFrame, rules: DataFrame, components: list[str]) -> DataFrame:
     """FLT-1 for rule tables of any size: rows that no rule (component_a, value_a, component_b, value_b) excludes.
 
-    A row's pairs of components are joined to the rules by all four values; rules
-    are unique, so that the anti join needs one exchange of each side.
+    Only pairs of components that some rule names are looked at (at most the square
+    of the number of components); a row's pairs are joined to the rules by all four
+    values.
     """
-    pairs = F.array(*[F.struct(F.lit(a).alias("component_a"), F.col(a).alias("value_a"), F.lit(b).alias("component_b"), F.col(b).alias("value_b")) for a in components for b in components])
     keys = ["component_a", "value_a", "component_b", "value_b"]
+    named = [(r[0], r[1]) for r in rules.select("component_a", "component_b").distinct().collect() if r[0] in components and r[1] in components]
+    if not named:
+        return rows
+    pairs = F.array(*[F.struct(F.lit(a).alias("component_a"), F.col(a).alias("value_a"), F.lit(b).alias("component_b"), F.col(b).alias("value_b")) for a, b in sorted(named)])
     numbered = rows.withColumn("_row", F.struct(*rows.columns))
     hit = numbered.select("_row", F.explode(pairs).alias("p")).select("_row", "p.*").join(rules.select(*keys).distinct(), keys, "left_semi").select("_row").distinct()
     return numbered.join(hit, "_row", "left_anti").drop("_row")

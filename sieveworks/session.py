@@ -25,13 +25,12 @@ def session(name: str = "sieveworks", **conf: str) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or a temporary folder of our own where that is unset."""
+    """spark.checkpoint.dir, or a temporary folder of our own where that is unset; checkpoints go there too."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    own = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if root is None and not own.isDefined():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sieveworks-"))
-        own = spark.sparkContext._jsc.sc().getCheckpointDir()
-    return (root or own.get()).rstrip("/")
+    context = spark.sparkContext._jsc.sc()
+    if not context.getCheckpointDir().isDefined():
+        spark.sparkContext.setCheckpointDir(root or tempfile.mkdtemp(prefix="sieveworks-"))
+    return (root or context.getCheckpointDir().get()).rstrip("/")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sieveworks.llm.common import materialize, pick, scratch
 
@@ -96,6 +97,17 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
 
 
+def annotate(rows: DataFrame) -> DataFrame:
+    """All rows and columns, with the fingerprint of the column text added as fp (long)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = np.array([fingerprint(t.as_py() or b"") for t in batch.column("text").cast(pa.binary())], np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.view(np.int64))], [*batch.schema.names, "fp"])
+
+    return rows.mapInArrow(run, T.StructType([*rows.schema, T.StructField("fp", T.LongType())]))
+
+
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     patterns = error_patterns()
     for batch in batches:
@@ -184,10 +196,11 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
-    """doc_id, fp (long with the fingerprint's bits), component_id of every row of documents (doc_id, text).
+    """doc_id, fp (long with the fingerprint's bits), component_id, root of every row of documents (doc_id, text).
 
     Fingerprints link at MAX_DISTANCE or fewer differing bits; component_id is
-    the smallest doc_id reachable over links.  Work on links is done once for
+    the smallest doc_id reachable over links, root a fingerprint that names the
+    component also where doc_ids repeat.  Work on links is done once for
     each distinct fingerprint, so copies cost one row each.
 
     A null, empty or wordless text has the fingerprint zero and links as any
@@ -203,5 +216,5 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     links = keys.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_links, "a long, b long")
     roots = components(links)
     rooted = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    named = rooted.join(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "root").select(F.col("fp").alias("of"), "component_id")
-    return docs.join(named, docs.fp == named.of).select("doc_id", "fp", "component_id")
+    named = rooted.join(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "root").select(F.col("fp").alias("of"), "component_id", "root")
+    return docs.join(named, docs.fp == named.of).select("doc_id", "fp", "component_id", "root")

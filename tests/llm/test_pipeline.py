@@ -53,3 +53,17 @@ def test_empty_and_odd_documents(spark, tmp_path):
         for _, f in corpus_pipeline.STAGES:
             docs = f(spark, docs, str(tmp_path))
         assert (docs.count() > 0) == bool(n)
+
+
+def test_repeated_and_missing_ids_go_by_row(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    a, b, c = ("the cat and the dog went home with this", "rain falls on seven green hills far away from here", "nobody counted the small lamps along our quiet street")
+    rows = [(5, a), (5, a), (5, b), (3, b), (None, c), (None, c), (None, a), (None, "one more line of plain words that nobody else has"), (7, None)]
+    docs = spark.createDataFrame([(d, t, "en", None, 1) for d, t in rows], schema)
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
+    assert sorted(got, key=str) == sorted([(5, a), (3, b), (None, c), (None, rows[7][1]), (7, None)], key=str)
+    bench = tmp_path / "benchmark.parquet"
+    spark.createDataFrame([(1, c)], "item_id long, text string").write.parquet(str(bench))
+    same = spark.createDataFrame([(d, t, "en", None, 1) for d, t in [(5, a), (5, c), (None, b), (None, c), (None, None), (6, "")]], schema)
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.decontamination(spark, same, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted([(5, a), (None, b), (None, None), (6, "")], key=str)

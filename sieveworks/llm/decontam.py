@@ -8,12 +8,16 @@ FEATURES rows only, has the inverse document frequencies and by the Nystrom form
 of the randomised singular value decomposition the leading right singular
 vectors and values of the TF-IDF matrix.
 
-A second pass projects blocks of words into the latent space, where directions
-that most passages share weigh little.  Sums of
-consecutive blocks, as long as each benchmark item, are compared with the items
-by cosine.  What comes near is decided on the words themselves: by the longest
-common subsequence, and for paraphrases also by whether the item's last words,
-its answer, stand there.
+A second pass compares windows of consecutive blocks of words, a block longer
+than each benchmark item, with the items.  No common subsequence is longer than
+the number of the window's words that the item has, so every window that can be
+a leak is one with enough of them for a copy, or enough for a paraphrase and the
+item's last words, its answer, in it.  All of these, and no others, are decided
+on the words themselves: by the longest common subsequence, and for paraphrases
+also by the answer.  The cosine in the latent space, where directions that most
+passages share weigh little, is told with each leak; it keeps none away, for in
+a short item's window half of the text may be foreign and a bound on the cosine
+would lose copies.
 """
 
 from __future__ import annotations
@@ -32,11 +36,10 @@ FEATURES = 2048  # hashed words
 PASSAGE = 64  # words
 RANK, EXTRA = 64, 8
 BLOCK = 8  # words projected together
-MIN_COSINE = 0.45
 SAME = 0.8  # of an item's words in the common subsequence: a copy
 PARAPHRASE = 0.6  # and the answer there: a paraphrase
 ANSWER = 5  # last words of an item, at most a third of it
-AT_ONCE, ITEMS = 1 << 14, 1 << 10  # blocks and items compared at once
+AT_ONCE, ITEMS = 1 << 14, 1 << 8  # blocks and items compared at once
 SHORT = 8  # items with fewer words are looked up as sequences
 MOST_ITEM_BYTES = 64 << 20  # of benchmark text that a task may hold
 U = np.uint64
@@ -144,27 +147,76 @@ class Items:
             words, owner = hashed(part)
             begin, _ = places(owner, len(part))
             self.words += [(rows[first + i][0], words[begin[i] : begin[i + 1]]) for i in range(len(part))]
-        self.classes: list[tuple[int, list[int], np.ndarray]] = []  # blocks, items, their vectors
+        self.classes: list[tuple[int, list[int], np.ndarray, np.ndarray, np.ndarray]] = []  # blocks, items, their vectors, their words: numbers in the vocabulary, items
+        self.answers: dict[int, dict[int, list[int]]] = {}  # items by length and hash of the answer
+        self.place: dict[int, tuple[int, int]] = {}  # class and column of each item
         self.short: dict[int, dict[int, list[int]]] = {}
         by: dict[int, list[int]] = {}
         span = SpanHash(24)
         for i, (_, words) in enumerate(self.words):
             if len(words) >= SHORT:
                 by.setdefault(-(-len(words) // BLOCK) + 1, []).append(i)
+                n = answer_length(len(words))
+                key = int(span(words, np.array([len(words) - n]), np.array([len(words)]))[0])
+                self.answers.setdefault(n, {}).setdefault(key, []).append(i)
             elif len(words):
                 key = int(span(words, np.array([0]), np.array([len(words)]))[0])
                 self.short.setdefault(len(words), {}).setdefault(key, []).append(i)
+        self.vocabulary = np.unique(np.concatenate([self.words[i][1] for m in by.values() for i in m])) if by else np.zeros(0, U)
+        self.maybe = np.zeros(1 << 16, bool)
+        self.maybe[self.vocabulary & U(0xFFFF)] = True
         for blocks, members in by.items():
             vectors = np.stack([latent[(self.words[i][1] % U(FEATURES)).astype(np.int64)].sum(axis=0) for i in members])
             norms = np.linalg.norm(vectors, axis=1, keepdims=True)
             vectors = np.ascontiguousarray((vectors / np.maximum(norms, 1e-30)).T, np.float32)
-            self.classes += [(blocks, members[i : i + ITEMS], vectors[:, i : i + ITEMS]) for i in range(0, len(members), ITEMS)]
+            for i in range(0, len(members), ITEMS):
+                part = members[i : i + ITEMS]
+                self.place |= {m: (len(self.classes), k) for k, m in enumerate(part)}
+                of = np.repeat(np.arange(len(part)), [len(self.words[m][1]) for m in part])
+                ids = np.searchsorted(self.vocabulary, np.concatenate([self.words[m][1] for m in part]))
+                self.classes.append((blocks, part, vectors[:, i : i + ITEMS], ids, of))
         self.longest = max(by, default=0)
 
+    def numbers(self, words: np.ndarray) -> np.ndarray:
+        """Each word's number in the vocabulary, or the vocabulary's size."""
+        out = np.full(len(words), len(self.vocabulary))
+        at = np.flatnonzero(self.maybe[words & U(0xFFFF)])
+        number = np.searchsorted(self.vocabulary, words[at])
+        known = number < len(self.vocabulary)
+        at, number = at[known], number[known]
+        known = self.vocabulary[number] == words[at]
+        out[at[known]] = number[known]
+        return out
+
+    def table(self, c: int) -> tuple[np.ndarray, np.ndarray]:
+        """How often each item of class c has each of the class's words, and the row of each number of the vocabulary."""
+        _, members, _, ids, of = self.classes[c]
+        own, row = np.unique(ids, return_inverse=True)
+        table = np.zeros((len(own) + 1, len(members)), np.int32)
+        np.add.at(table, (row, of), 1)
+        rows = np.full(len(self.vocabulary) + 1, len(own), np.int32)
+        rows[own] = np.arange(len(own))
+        return table, rows
+
+
+def in_common(rows: np.ndarray, table: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """Size of the common multiset of words of each window (a row of rows of table) and its item (a column)."""
+    out = []
+    for at in range(0, len(rows), 1 << 14):
+        part = np.sort(rows[at : at + (1 << 14)], axis=1)
+        place = np.broadcast_to(np.arange(part.shape[1]), part.shape)
+        begins = np.concatenate([np.zeros((len(part), 1), np.int64), np.where(part[:, 1:] != part[:, :-1], place[:, 1:], 0)], axis=1)
+        out.append((table[part, column[at : at + (1 << 14), None]] > place - np.maximum.accumulate(begins, axis=1)).sum(axis=1))
+    return np.concatenate(out)
+
+
+def answer_length(n: int) -> int:
+    return max(1, min(ANSWER, n // 3))
+
 
 def judged(item: list[int], passage: list[int]) -> tuple[float, bool]:
     """Share of the item's words in the common subsequence, and whether its answer stands in the passage."""
-    answer = item[-max(1, min(ANSWER, len(item) // 3)) :]
+    answer = item[-answer_length(len(item)) :]
     n = len(answer)
     there = any(passage[i : i + n] == answer for i in range(len(passage) - n + 1))
     return common_subsequence(item, passage) / len(item), there
@@ -214,31 +266,68 @@ def find(documents: DataFrame, benchmark: DataFrame, latent: np.ndarray | None =
                 cut = np.flatnonzero(place % BLOCK == 0)
                 of_block = owner[cut]
                 last = np.searchsorted(of_block, of_block, side="right")
+                numbers = np.append(held.numbers(words), len(held.vocabulary))
+                of_class: list[list[tuple[int, int]]] = [[] for _ in held.classes]  # windows that hold an answer, and the items
+                for n, wanted in held.answers.items():
+                    at = np.arange(max(len(words) - n + 1, 0))
+                    at = at[owner[at] == owner[at + n - 1]]
+                    keys = span(words, at, at + n)
+                    for j in np.flatnonzero(np.isin(keys, np.fromiter(wanted, U))).tolist():
+                        p = int(at[j])
+                        begins, ends = (int(np.searchsorted(cut, x, side="right")) - 1 for x in (p, p + n - 1))
+                        low = int(np.searchsorted(cut, begin[owner[p]]))
+                        for i in wanted[int(keys[j])]:
+                            c, k = held.place[i]
+                            of_class[c] += [(b, k) for b in range(max(low, ends - held.classes[c][0] + 1), begins + 1)]
+                answers = [np.array(x, np.int64).reshape(-1, 2) for x in of_class]
                 for first in range(0, len(cut), AT_ONCE):
                     to = min(len(cut), first + AT_ONCE + held.longest)
                     a, z = cut[first], cut[to] if to < len(cut) else len(words)
-                    blocks = np.add.reduceat(latent[(words[a:z] % U(FEATURES)).astype(np.int64)], cut[first:to] - a, axis=0)
-                    total = np.concatenate([np.zeros((1, blocks.shape[1])), np.cumsum(blocks, axis=0, dtype=np.float64)])
-                    number = np.arange(min(AT_ONCE, len(cut) - first))
-                    for length, members, vectors in held.classes:
+                    at = cut[first:to, None] + np.arange(BLOCK)
+                    in_blocks = numbers[np.where(at < np.append(cut, len(words))[first + 1 : to + 1, None], at, len(words))]
+                    n = min(AT_ONCE, len(cut) - first)
+                    total = None
+                    for c, (length, members, vectors, _, _) in enumerate(held.classes):
+                        table, rows_of = held.table(c)
+                        in_item, block_rows = (table > 0).astype(np.uint8 if length * BLOCK < 256 else np.int32), rows_of[in_blocks]
+                        known = in_item[block_rows[:, 0]]
+                        for i in range(1, BLOCK):
+                            known += in_item[block_rows[:, i]]
+                        # No common subsequence is longer than the number of window words that the item has.  Words of the
+                        # next text may be counted here, but are not in the passage that is judged.
+                        shared = known[:n].copy()
+                        for i in range(1, length):
+                            shared[: len(known) - i] += known[i : n + i]
+                        sizes = np.array([len(held.words[i][1]) for i in members])
+                        enough, some = (np.ceil(share * sizes - 1e-9).astype(shared.dtype) for share in (SAME, PARAPHRASE))
+                        here = answers[c][(answers[c][:, 0] >= first) & (answers[c][:, 0] < first + n)]
+                        here = here[shared[here[:, 0] - first, here[:, 1]] >= some[here[:, 1]]]
+                        answered = (here[:, 0] - first) * len(members) + here[:, 1]
+                        cells = np.union1d(np.flatnonzero(shared >= enough), answered)
+                        if not len(cells):
+                            continue
+                        w, k = np.divmod(cells, len(members))
+                        at = np.minimum(w[:, None] + np.arange(length), len(block_rows) - 1)
+                        most = in_common(block_rows[at].reshape(len(w), -1), table, k)
+                        open_ = most >= np.where(np.isin(cells, answered), some[k], enough[k])
+                        w, k = w[open_], k[open_]
+                        if not len(w):
+                            continue
+                        if total is None:
+                            blocks = np.add.reduceat(latent[(words[a:z] % U(FEATURES)).astype(np.int64)], cut[first:to] - a, axis=0)
+                            total = np.concatenate([np.zeros((1, blocks.shape[1])), np.cumsum(blocks, axis=0, dtype=np.float64)])
                         # At a text's end windows are shorter.
-                        ends = np.minimum(number + length, last[first + number] - first)
-                        window = (total[ends] - total[number]).astype(np.float32)
+                        window = (total[np.minimum(w + length, last[first + w] - first)] - total[w]).astype(np.float32)
                         size = np.maximum(np.sqrt(np.einsum("ij,ij->i", window, window)), 1e-30)
-                        cosines = window @ vectors
-                        near_block, near_item = np.nonzero(cosines >= MIN_COSINE * size[:, None])
-                        for k in np.unique(near_item).tolist():
-                            i, near = members[k], near_block[near_item == k]
-                            item, b = held.words[i][1], near + first
-                            a, z = cut[b], np.minimum(cut[b] + length * BLOCK, begin[of_block[b] + 1])
-                            at = a[:, None] + np.arange(length * BLOCK)
-                            # No common subsequence is longer than the number of passage words that the item has.
-                            shared = (np.isin(words[np.minimum(at, len(words) - 1)], item) & (at < z[:, None])).sum(axis=1)
-                            for c in np.flatnonzero(shared >= PARAPHRASE * len(item)).tolist():
-                                text = int(of_block[b[c]])
-                                common, answer = judged(item.tolist(), words[a[c] : z[c]].tolist())
-                                if common >= SAME or common >= PARAPHRASE and answer:
-                                    keep(text, i, "copy" if common >= SAME else "paraphrase", common, answer, float(cosines[near[c], k] / size[near[c]]), int(a[c] - begin[text]))
+                        cosines = np.einsum("ij,ij->i", window, vectors.T[k]) / size
+                        for j in range(len(w)):
+                            i, block = members[k[j]], int(w[j]) + first
+                            text = int(of_block[block])
+                            a, z = int(cut[block]), int(min(cut[block] + length * BLOCK, begin[text + 1]))
+                            item = held.words[i][1]
+                            common, answer = judged(item.tolist(), words[a:z].tolist())
+                            if common >= SAME or common >= PARAPHRASE and answer:
+                                keep(text, i, "copy" if common >= SAME else "paraphrase", common, answer, float(cosines[j]), int(a - begin[text]))
                 for n, wanted in held.short.items():
                     at = np.arange(max(len(words) - n + 1, 0))
                     at = at[owner[at] == owner[at + n - 1]]

@@ -105,3 +105,28 @@ def test_odd_rows(spark):
     # an item that is there twice comes back twice
     assert got == {(d, i, "copy"): (2 if d == 3 else 1) * (2 if i == 1 else 1) for d in (3, None, 5) for i in (1, None)} | {(4, 4, "sequence"): 1}
     assert decontam.find(df.limit(0), bench).count() == 0 and decontam.find(df, bench.limit(0)).count() == 0
+
+
+def test_every_accepted_window_is_found(spark, corpus):
+    """Against the decision at every window: short items, copies and paraphrases near the bound, in foreign text."""
+    rng = random.Random(11)
+    items = [(i, corpus(rng.randrange(8, 16))) for i in range(150)]
+    docs = []
+    for i, w in items:
+        n = len(w) - decontam.answer_length(len(w))
+        lost = rng.sample(range(n), int(0.35 * len(w)))
+        docs.append((1000 + i, corpus(rng.randrange(40)) + w + corpus(30)))
+        docs.append((2000 + i, corpus(rng.randrange(40)) + ["other" if j in lost else x for j, x in enumerate(w)] + corpus(30)))
+    df = spark.createDataFrame([(d, " ".join(w)) for d, w in docs], "doc_id long, text string").repartition(4)
+    got = {(r.doc_id, r.item_id): (r.common, r.first_word) for r in decontam.find(df, spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")).collect()}
+    want = {}
+    for d, text in docs:
+        for i, item in items:
+            for at in range(0, len(text), decontam.BLOCK):
+                passage = text[at : at + (-(-len(item) // decontam.BLOCK) + 1) * decontam.BLOCK]
+                if sum(x in item for x in passage) < decontam.PARAPHRASE * len(item):
+                    continue
+                common, answer = decontam.judged(item, passage)
+                if common >= decontam.SAME or common >= decontam.PARAPHRASE and answer:
+                    want[d, i] = max(want.get((d, i), (0, 0)), (common, -at))
+    assert got == {k: (common, -at) for k, (common, at) in want.items()} and len(want) >= 300

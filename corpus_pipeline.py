@@ -72,8 +72,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def online_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences, as in packing.pack; a null or empty text is the end id alone."""
-    return packing.pack(docs, tokenizer_path(), keep_ids=False).drop("ids")
+    """Pieces of the documents in sequences with their token ids, as in packing.pack; a null or empty text is the end id alone."""
+    return packing.pack(docs, tokenizer_path())
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

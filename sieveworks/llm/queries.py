@@ -28,7 +28,7 @@ def op1_ngram_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_online_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path(), keep_ids=False).drop("ids")
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path()).drop("ids")
 
 
 def op3_debruijn_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

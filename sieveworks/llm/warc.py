@@ -181,18 +181,24 @@ def assemble(records: DataFrame) -> DataFrame:
     return grouped.withColumn("n", F.explode(F.sequence(F.lit(1), F.greatest(F.col("n"), F.lit(1)).cast("int")))).drop("n")
 
 
-def captures(spark: SparkSession, path: str) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type and refers_to of every capture of the archives under `path`.
+def transactions(spark: SparkSession, path: str) -> DataFrame:
+    """page_id, payload_bytes, payload_digest, record_type, refers_to and payload of every capture of the archives under `path`.
 
-    Sizes and page ids of a revisit come from the response that it refers to.
+    Sizes and page ids of a revisit come from the response that it refers to;
+    its payload is null, as that response's row has it.
     """
-    rows = assemble(read(spark, path, payloads=False)).select(
+    rows = assemble(read(spark, path)).select(
         F.get(F.filter("metadata.fields", lambda x: x["key"] == "page-id"), 0)["value"].alias("page"),
         F.coalesce("response", "revisit").alias("answer"),
         F.when(F.col("response").isNotNull(), "response").otherwise("revisit").alias("record_type"),
     )
-    rows = rows.select(F.expr("try_cast(page AS BIGINT)").alias("page_id"), "record_type", F.col("answer.record_id").alias("id"), F.col("answer.payload_digest").alias("payload_digest"), F.col("answer.payload_bytes").alias("own_bytes"), F.col("answer.refers_to").alias("to"))
+    rows = rows.select(F.expr("try_cast(page AS BIGINT)").alias("page_id"), "record_type", F.col("answer.record_id").alias("id"), F.col("answer.payload_digest").alias("payload_digest"), F.col("answer.payload_bytes").alias("own_bytes"), F.col("answer.refers_to").alias("to"), F.col("answer.payload").alias("payload"))
     rows = materialize(rows, "captures")
     original = rows.where("record_type = 'response'").select(F.col("id").alias("original"), F.col("page_id").alias("original_page"), F.col("own_bytes").alias("original_bytes"))
     original = materialize(original.groupBy("original").agg(F.min("original_page").alias("original_page"), F.min("original_bytes").alias("original_bytes")), "originals")
-    return rows.join(original, F.col("to") == F.col("original"), "left").select("page_id", F.coalesce("own_bytes", "original_bytes").alias("payload_bytes"), "payload_digest", "record_type", F.col("original_page").alias("refers_to"))
+    return rows.join(original, F.col("to") == F.col("original"), "left").select("page_id", F.coalesce("own_bytes", "original_bytes").alias("payload_bytes"), "payload_digest", "record_type", F.col("original_page").alias("refers_to"), "payload")
+
+
+def captures(spark: SparkSession, path: str) -> DataFrame:
+    """The transactions under `path` without their payloads."""
+    return transactions(spark, path).drop("payload")

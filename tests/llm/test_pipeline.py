@@ -1,3 +1,5 @@
+import zlib
+
 import pytest
 
 import corpus_pipeline
@@ -67,3 +69,9 @@ def test_repeated_and_missing_ids_go_by_row(spark, tmp_path):
     same = spark.createDataFrame([(d, t, "en", None, 1) for d, t in [(5, a), (5, c), (None, b), (None, c), (None, None), (6, "")]], schema)
     got = [(r.doc_id, r.text) for r in corpus_pipeline.decontamination(spark, same, str(tmp_path)).collect()]
     assert sorted(got, key=str) == sorted([(5, a), (None, b), (None, None), (6, "")], key=str)
+
+
+def test_packed_sequences_can_be_read(stages):
+    """The last stage's rows hold the token ids, whose checksums and lengths are theirs."""
+    rows = stages[-1].collect()
+    assert rows and all(len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32 for r in rows)

@@ -82,3 +82,11 @@ def test_missing_parts(spark, tmp_path):
     (tmp_path / "w/a.warc").write_bytes(record(b"GET", WARC_Type="request", WARC_Record_ID="<r>", WARC_Concurrent_To="<a>") + record(b"H\r\n\r\nbody", WARC_Type="response", WARC_Record_ID="<b>") + record(b"x", WARC_Type="warcinfo"))
     rows = {r.capture_id: r for r in warc.assemble(warc.read(spark, str(tmp_path / "w"))).collect()}
     assert set(rows) == {"<a>", "<b>"} and rows["<a>"].response is None and rows["<b>"].response.payload == b"body"
+
+
+def test_transactions_carry_payloads(spark, tmp_path):
+    """A response's payload comes out of its archive whole; a revisit has none of its own."""
+    pages = [(1, "http://a.example/", "<p>one</p>"), (2, "http://a.example/2", "<p>two é\x00\r\n\r\n</p>" * 1000), (3, "http://a.example/3", "<p>one</p>")]
+    warc.write(spark.createDataFrame(pages, "page_id long, url string, html string"), str(tmp_path / "w"))
+    got = {r.page_id: (r.record_type, r.payload and bytes(r.payload).decode()) for r in warc.transactions(spark, str(tmp_path / "w")).collect()}
+    assert got == {1: ("response", pages[0][2]), 2: ("response", pages[1][2]), 3: ("revisit", None)}

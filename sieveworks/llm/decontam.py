@@ -44,8 +44,8 @@ BLOCK = 8  # words projected together
 SAME = 0.8  # of an item's words in the common subsequence: a copy
 PARAPHRASE = 0.6  # and the answer there: a paraphrase
 ANSWER = 5  # last words of an item, at most a third of it
-MIN_COSINE = 0.45
-MIN_SHARE = 0.5  # of an item's squared length that a window holds in its direction
+MIN_COSINE = 0.35
+MIN_SHARE = 0.3  # of an item's squared length that a window holds in its direction
 CELL = 256  # items of a cell, about
 RARE = 3  # of an item's rarest words that a copy's window must hold
 AT_ONCE = 1 << 12  # windows searched at once

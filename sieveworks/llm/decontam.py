@@ -47,6 +47,7 @@ ANSWER = 5  # last words of an item, at most a third of it
 MIN_COSINE = 0.35
 MIN_SHARE = 0.3  # of an item's squared length that a window holds in its direction
 CELL = 256  # items of a cell, about
+SLACK = 2 / RANK**0.5  # of a window's length: two deviations of its cosine with an unrelated direction
 RARE = 3  # of an item's rarest words that a copy's window must hold
 AT_ONCE = 1 << 12  # windows searched at once
 SHORT = 8  # items with fewer words are looked up as sequences
@@ -149,7 +150,8 @@ def cells_of(vectors: np.ndarray, size: int = CELL) -> list[tuple[np.ndarray, fl
     """Cells of about `size` items around centroids (spherical k-means): centroid, the projection on it that a window needs, items.
 
     The items' vectors are rows.  A window that holds MIN_SHARE of an item holds
-    about that share of the item's own projection on the centroid.
+    about that share of the item's own projection on the centroid, give or take
+    what the foreign text in it adds (SLACK).
     """
     n = -(-len(vectors) // size)
     unit = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-30)
@@ -162,7 +164,7 @@ def cells_of(vectors: np.ndarray, size: int = CELL) -> list[tuple[np.ndarray, fl
     for c in range(n):
         members = np.flatnonzero(nearest == c)
         if len(members):
-            out.append((centers[c], MIN_SHARE / 2 * float((vectors[members] @ centers[c]).min()) if n > 1 else -np.inf, members))
+            out.append((centers[c], MIN_SHARE * float((vectors[members] @ centers[c]).min()) if n > 1 else -np.inf, members))
     return out
 
 
@@ -186,12 +188,12 @@ class Class:
     def near(self, windows: np.ndarray) -> np.ndarray:
         """Rows (window, item) of the candidates of windows: cells first, then shares, then cosines."""
         out = [np.zeros((0, 2), np.int64)]
+        sizes = np.sqrt(np.einsum("ij,ij->i", windows, windows))
         for center, gate, at, vectors, least in self.cells:
-            rows = np.flatnonzero(windows @ center >= gate) if gate > -np.inf else np.arange(len(windows))
+            rows = np.flatnonzero(windows @ center >= gate - SLACK * sizes) if gate > -np.inf else np.arange(len(windows))
             dots = windows[rows] @ vectors
             hit, k = np.nonzero(dots >= least)
-            found = windows[rows[hit]]
-            long = dots[hit, k] ** 2 >= MIN_COSINE**2 * np.einsum("ij,ij->i", found, found) * self.squares[at[k]]
+            long = dots[hit, k] >= MIN_COSINE * sizes[rows[hit]] * np.sqrt(self.squares[at[k]])
             out.append(np.stack([rows[hit[long]], at[k[long]]], axis=1))
         return np.concatenate(out)
 

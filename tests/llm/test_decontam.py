@@ -145,5 +145,7 @@ def test_cosine_search_alone_and_in_parts(spark, corpus):
     got = decontam.find(df, bench, space).collect()
     assert {(r.doc_id, r.item_id) for r in got} >= {(i, i) for i, _ in items[::3]}
     assert sum(r.by_cosine for r in got) >= 0.9 * len(got)
-    assert sorted(map(tuple, decontam.find(df, bench, space, item_bytes=40_000).collect())) == sorted(map(tuple, got))
+    parts = decontam.find(df, bench, space, item_bytes=40_000).collect()  # other cells: the cosine may differ in its last digits
+    assert {(r.doc_id, r.item_id, r.kind, r.common, r.answer, r.first_word) for r in parts} == {(r.doc_id, r.item_id, r.kind, r.common, r.answer, r.first_word) for r in got}
+    assert len(parts) == len(got) and sum(r.by_cosine for r in parts) >= 0.9 * len(got)
     assert len(decontam.cells_of(np.random.default_rng(1).normal(size=(900, 64)))) == 4

@@ -8,7 +8,12 @@ patterns how reliable each labeler is, and a logistic classifier of the
 candidates' features, trained on the posteriors, has the last word.
 
 All that touches texts is a DataFrame expression.  What comes to the driver are
-counts of vote and feature patterns, at most 2**3 and 2**9 rows.
+counts of feature patterns, at most 2**14 rows however large the corpus, and of
+vote patterns, at most 2**3.  The labelers share nothing: one looks at the value's
+shape, one at lists of names, one at the punctuation before it.
+
+Places and overlaps are running sums, maxima and minima of arrays, by doubling:
+n spans of a text cost about n * log(n), and a text is cut by blocks of it.
 """
 
 from __future__ import annotations
@@ -28,41 +33,67 @@ PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     # [0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
-    # [0-9]([\x20-]?[0-9])+
-    "card": r"[0-9](?:[\x20-]?[0-9])++",
+    # [0-9]([\x20-]?[0-9])+, of these only the whole matches of 14 to 19 digits
+    "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?+[0-9]){13,18}+(?![\x20-]?[0-9])",
     # \+[0-9][\x20().0-9-]+[0-9]
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
+NEEDS = {"email": "@", "ip": ".", "phone": "+"}
 KINDS = ("email", "ip", "card", "phone", "secret")
 CANDIDATE = r"(?:\G|(?<![A-Za-z0-9_/+=-]))[A-Za-z0-9_/+=-]{16,}+"
+BLOCK = 1024  # characters that a text is cut from at once
 BEFORE = 32  # characters before a candidate that the labelers look at
 # How values of known issuers begin, and what credentials are called.
 PREFIXES = r"^(AKIA|ASIA|ghp_|gho_|github_pat_|glpat-|sk-|pk_live_|sk_live_|xox[abprs]-|AIza|eyJ)"
 NAMES = r"(?i)(token|secret|passw(or)?d|pwd|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer|credential)[\"']?\s*[:=]?\s*[\"']?$"
 VOTERS = ("by_pattern", "by_gazetteer", "by_context")
-FEATURES = ("hex", "long", "mixed", "letters_only", "digits_only", "known_prefix", "assigned", "quoted", "named")
+FEATURES = ("hex", "long", "mixed", "letters_only", "digits_only", "known_prefix", "assigned", "quoted", "named", "both_cases", "wordlike", "very_long", "separated", "padded")
 ROUNDS = 50
+END = (1 << 31) - 1  # beyond any place
+
+
+def bound(value: Column, use) -> Column:
+    """use(value), with value computed once however often use names it, also inside its lambdas."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def running(values: Column, joined, zero: int) -> Column:
+    """What joined makes of all values up to each place (sums, maxima, minima), in log(n) passes over the array.
+
+    After the pass of step s each place has what 2**(s+1) values make up."""
+
+    def of(v: Column) -> Column:
+        passes = F.when(F.size(v) > 1, F.sequence(F.lit(0), F.ceil(F.log2(F.size(v))).cast("int"))).otherwise(F.from_json(F.lit("[]"), "array<int>"))
+        shifted = lambda acc, s: F.slice(F.concat(F.array_repeat(F.lit(zero), F.least(F.pow(F.lit(2), s).cast("int"), F.size(acc))), acc), 1, F.size(acc))
+        return F.reduce(passes, v, lambda acc, s: F.zip_with(acc, shifted(acc, s), joined))
+
+    return bound(values, of)
+
+
+def blocks_of(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % BLOCK), F.lit(0))
+
+
+def cut(blocks: Column, start: Column, n: Column) -> Column:
+    """n characters from `start` on, from the blocks of a text: the cost is that of the blocks they lie in."""
+    first, last = (F.floor(x / BLOCK).cast("int") for x in (start, start + F.greatest(n, F.lit(1)) - 1))
+    return F.substring(F.array_join(F.slice(blocks, first + 1, last - first + 1), ""), start - first * BLOCK + 1, n)
 
 
 def hits(text: Column, pattern: str, needs: str | None = None) -> Column:
     """Leftmost non-overlapping matches as an array of structs (start, end, hit), in code points.
 
     Places are the running lengths of what stands between matches and of the matches.
+    needs: a string that every match has.  Null: none.
     """
-    found, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    empty = F.from_json(F.lit("[]"), "array<struct<start:int,end:int,hit:string>>")
-    first = F.struct(F.lit(0).alias("at"), empty.alias("out"))
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["between"])
-        end = start + F.length(x["hit"])
-        return F.struct(end.alias("at"), F.array_append(acc["out"], F.struct(start.alias("start"), end.alias("end"), x["hit"].alias("hit"))).alias("out"))
+    def of(v: Column) -> Column:
+        lengths = F.zip_with(v["found"], F.slice(v["between"], 1, F.size(v["found"])), lambda h, b: F.length(b) + F.length(h))
+        return F.zip_with(running(lengths, lambda a, b: a + b, 0), v["found"], lambda end, h: F.struct((end - F.length(h)).alias("start"), end.alias("end"), h.alias("hit")))
 
-    zipped = F.zip_with(F.slice(between, 1, F.size(found)), found, lambda b, h: F.struct(b.alias("between"), h.alias("hit")))
-    out = F.aggregate(zipped, first, step, lambda acc: acc["out"])
-    there = text.contains(needs) if needs else text.rlike("[0-9]")
-    return F.when(there, out).otherwise(empty)
+    out = bound(F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"), F.split(text, pattern, -1).alias("between")), of)
+    empty = F.from_json(F.lit("[]"), "array<struct<start:int,end:int,hit:string>>")
+    return F.when(text.contains(needs) if needs else text.isNotNull(), out).otherwise(empty)
 
 
 def _digits(hit: Column) -> Column:
@@ -91,12 +122,22 @@ def _valid(kind: str, hit: Column) -> Column:
 
 
 def base_spans(text: Column, kind: str) -> Column:
-    return F.filter(hits(text, PATTERNS[kind], NEEDS[kind]), lambda x: _valid(kind, x["hit"]))
+    found = hits(text, PATTERNS[kind], NEEDS.get(kind))
+    if kind == "card":  # the pattern needs digits, most texts have none
+        found = F.when(text.rlike("[0-9]"), found).otherwise(F.from_json(F.lit("[]"), "array<struct<start:int,end:int,hit:string>>"))
+    return F.filter(found, lambda x: _valid(kind, x["hit"]))
 
 
 def candidates(text: Column) -> Column:
     """Credential candidates as structs (start, end, hit, before); the labelers and features need nothing else."""
-    return F.transform(hits(text, CANDIDATE), lambda x: F.struct(x["start"], x["end"], x["hit"], F.substring(text, F.greatest(x["start"] - BEFORE, F.lit(0)) + 1, F.least(x["start"], F.lit(BEFORE))).alias("before")))
+    empty = F.from_json(F.lit("[]"), "array<struct<start:int,end:int,hit:string,before:string>>")
+
+    def of(found: Column) -> Column:
+        before = lambda blocks, x: cut(blocks, F.greatest(x["start"] - BEFORE, F.lit(0)), F.least(x["start"], F.lit(BEFORE)))
+        out = bound(blocks_of(text), lambda blocks: F.transform(found, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["hit"].alias("hit"), before(blocks, x).alias("before"))))
+        return F.when(F.size(found) > 0, out).otherwise(empty)
+
+    return bound(hits(text, CANDIDATE), of)
 
 
 def features(x: Column) -> dict[str, Column]:
@@ -111,23 +152,27 @@ def features(x: Column) -> dict[str, Column]:
         "assigned": before.rlike("[:=]\\s*[\"']?$"),
         "quoted": before.rlike("[\"']$"),
         "named": before.rlike(NAMES),
+        "both_cases": hit.rlike("[a-z]") & hit.rlike("[A-Z]"),
+        "wordlike": hit.rlike("[A-Za-z][a-z]{5}"),
+        "very_long": F.length(hit) >= 64,
+        "separated": hit.rlike("[_/+-]"),
+        "padded": hit.endswith("="),
     }
 
 
 def votes(f: dict[str, Column]) -> dict[str, Column]:
     return {
-        "by_pattern": (f["hex"] & f["long"]) | (f["mixed"] & f["long"]) | f["known_prefix"],
+        "by_pattern": (f["hex"] | f["mixed"]) & f["long"],
         "by_gazetteer": f["known_prefix"] | f["named"],
-        "by_context": f["assigned"] | (f["quoted"] & f["mixed"]),
+        "by_context": f["assigned"] | f["quoted"],
     }
 
 
 def expectation_maximisation(counts: dict[tuple, int], rounds: int = ROUNDS) -> tuple[float, list[tuple[float, float]], dict[tuple, float]]:
     """Of counts by vote pattern: the share of true candidates, each labeler's (hit rate, false alarm rate), posteriors.
 
-    Starts from the majority.  Rates are smoothed by one pseudo-count and a
-    labeler's hit rate is kept over its false alarm rate, which fixes which
-    class is which.
+    Starts from the majority; rates are smoothed by one pseudo-count.  Which of
+    the two classes is which is told at the end by the sum of the labelers' rates.
     """
     n = len(next(iter(counts), ()))
     posterior = {v: 0.9 if 2 * sum(v) > n else 0.1 if sum(v) else 0.01 for v in counts}
@@ -140,12 +185,14 @@ def expectation_maximisation(counts: dict[tuple, int], rounds: int = ROUNDS) ->
         for i in range(n):
             true = (sum(c * posterior[v] for v, c in counts.items() if v[i]) + 1) / (yes + 2)
             false = (sum(c * (1 - posterior[v]) for v, c in counts.items() if v[i]) + 1) / (no + 2)
-            rates.append((max(true, false), min(true, false)))
+            rates.append((true, false))
         for v in counts:
             odds = math.log(prior / (1 - prior))
             for x, (true, false) in zip(v, rates):
                 odds += math.log(true / false) if x else math.log((1 - true) / (1 - false))
             posterior[v] = 1 / (1 + math.exp(-max(-60.0, min(60.0, odds))))
+    if sum(true - false for true, false in rates) < 0:
+        prior, rates, posterior = 1 - prior, [(false, true) for true, false in rates], {v: 1 - p for v, p in posterior.items()}
     return prior, rates, posterior
 
 
@@ -204,12 +251,22 @@ def spans_of(text: Column, weights: list[float]) -> Column:
 
     base = F.concat(*[ranked(base_spans(text, kind), kind) for kind in KINDS[:4]])
     secret = ranked(F.filter(candidates(text), lambda x: accepted(x, weights)), "secret")
-    # base is computed once: it is the start of a fold that adds the secrets which overlap no base span.
-    return F.array_sort(F.reduce(F.array(base), secret_start(), lambda acc, b: F.concat(b, F.filter(secret, lambda x: ~F.exists(b, lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"]))))))
+    return bound(F.struct(F.array_sort(base).alias("base"), secret.alias("secret")), _together)
+
+
+def _together(v: Column) -> Column:
+    """The base spans and those secrets that overlap none of them, sorted."""
+    secret = KINDS.index("secret")
 
+    def of(spans: Column) -> Column:
+        ends = running(F.transform(spans, lambda x: F.when(x["rank"] == secret, F.lit(0)).otherwise(x["end"])), lambda a, b: F.greatest(a, b), 0)
+        starts = F.transform(F.reverse(spans), lambda x: F.when(x["rank"] == secret, F.lit(END)).otherwise(x["start"]))
+        around = F.struct(ends.alias("ends"), F.reverse(running(starts, lambda a, b: F.least(a, b), END)).alias("starts"))
+        free = lambda a, x, i: (x["rank"] != secret) | ((F.get(a["ends"], i) <= x["start"]) & (F.get(a["starts"], i) >= x["end"]))
+        return bound(around, lambda a: F.filter(spans, lambda x, i: free(a, x, i)))
 
-def secret_start() -> Column:
-    return F.from_json(F.lit("[]"), "array<struct<start:int,rank:int,end:int,kind:string,hit:string>>")
+    both = bound(F.array_sort(F.concat(v["base"], v["secret"])), of)
+    return F.when(F.size(v["secret"]) == 0, v["base"]).when(F.size(v["base"]) == 0, v["secret"]).otherwise(both)
 
 
 def find(documents: DataFrame, weights: list[float]) -> DataFrame:
@@ -230,13 +287,19 @@ def redact(rows: DataFrame, weights: list[float]) -> DataFrame:
 
     Overlapping spans merge into the first.
     """
-    first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     text = F.col("text")
 
-    def step(acc: Column, x: Column) -> Column:
-        gap = F.substring(text, acc["at"] + 1, F.greatest(x["start"] - acc["at"], F.lit(0)))
-        mark = F.when(x["start"] >= acc["at"], F.concat(gap, F.lit("["), F.upper(x["kind"]), F.lit("]"))).otherwise("")
-        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), F.concat(acc["out"], mark).alias("out"))
+    def marked(v: Column) -> Column:
+        def part(x: Column, i: Column) -> Column:
+            before = F.when(i > 0, F.get(v["ends"], i - 1)).otherwise(0)  # where what is done already ends
+            mark = F.concat(cut(v["blocks"], before, x["start"] - before), F.lit("["), F.upper(x["kind"]), F.lit("]"))
+            return F.when(x["start"] >= before, mark).otherwise("")
+
+        end = F.element_at(v["ends"], -1)
+        return F.concat(F.array_join(F.transform(v["spans"], part), ""), cut(v["blocks"], end, F.length(text) - end))
+
+    def clean(spans: Column) -> Column:
+        ends = running(F.transform(spans, lambda x: x["end"]), lambda a, b: F.greatest(a, b), 0)
+        return F.when(F.size(spans) > 0, bound(F.struct(spans.alias("spans"), ends.alias("ends"), blocks_of(text).alias("blocks")), marked)).otherwise(text)
 
-    clean = F.aggregate(spans_of(text, weights), first, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    return rows.withColumn("text", clean)
+    return rows.withColumn("text", bound(spans_of(text, weights), clean))

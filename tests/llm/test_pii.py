@@ -93,3 +93,45 @@ def test_redact(spark):
 def test_no_python_in_the_plan(spark, sf):
     plan = op8_weak_supervision_pii(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_long_texts_of_many_spans(spark):
+    """A megabyte of two-digit numbers, emails or credentials takes seconds, and its spans are those of the plain patterns."""
+    import time
+
+    emails, numbers = " ".join(f"u{i}@h{i % 7}.org" for i in range(75_000)), ", ".join(str(10 + i % 90) for i in range(260_000))
+    cards, mixed = "; ".join(["4111 1111 1111 1111"] * 50_000), " ".join(f"a{i}@b.cc key='AKIA{i:016d}'" for i in range(25_000))
+    df = spark.createDataFrame([(1, emails), (2, numbers), (3, cards), (4, mixed)], "doc_id long, text string").repartition(4)
+    weights = pii.train(spark.createDataFrame([(f"token = \"{i:040x}\" and some ordinary-looking words",) for i in range(50)], "text string"))
+    pii.find(df.limit(0), weights).collect()
+    start = time.time()
+    got = {r.doc_id: r for r in pii.find(df, weights).collect()}
+    clean = {r.doc_id: r.text for r in pii.redact(df, weights).collect()}
+    assert time.time() - start < 60
+    for i, text in enumerate((emails, numbers, cards, mixed), 1):
+        assert [(s.kind, s.start, s.end) for s in got[i].spans if s.kind != "secret"] == brute(text)
+    assert len(got[1].spans) == 75_000 and len(got[3].spans) == 50_000 and not got[2].spans
+    assert clean[1] == " ".join(["[EMAIL]"] * 75_000) and clean[2] == numbers and clean[3] == "; ".join(["[CARD]"] * 50_000)
+
+
+def test_overlaps_and_redaction_against_brute_force(spark):
+    """Secrets that overlap a base span go; marks stand where spans that begin inside another don't; every place is in code points."""
+    import random
+
+    rng, parts = random.Random(3), ["a@b.cc", "4111111111111111", "x" * 20 + "1", "é😀", " ", "\n", ".", "+1 555 123 4567", "10.0.0.1", "token='", "'"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 400))) for _ in range(60)]
+    weights = [0.0] * len(pii.FEATURES) + [1.0]  # every candidate is a secret
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in pii.find(df, weights).collect()}
+    clean = {r.doc_id: r.text for r in pii.redact(df, weights).collect()}
+    for i, text in enumerate(texts):
+        base = brute(text)
+        secrets = [("secret", m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9_/+=-]{16,}", text)]
+        free = [s for s in secrets if not any(b[1] < s[2] and s[1] < b[2] for b in base)]
+        assert got[i] == sorted(base + free, key=lambda s: (s[1], pii.KINDS.index(s[0]), s[2]))
+        out, at = "", 0
+        for kind, start, end in got[i]:
+            if start >= at:
+                out += text[at:start] + f"[{kind.upper()}]"
+            at = max(at, end)
+        assert clean[i] == out + text[at:]

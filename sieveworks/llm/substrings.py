@@ -16,7 +16,12 @@ Records meet by minimizer in a Spark aggregation with partial sums and a join:
   is taken apart into its edges, which meet by 128-bit hash, again in an
   aggregation and a join.
 
-Spans so verified come back to their documents by their coordinates.
+Spans so found come back to their documents by their coordinates.
+
+Words are hashed by two independent families that are not linear in the bytes.
+Paths are equal if their minimizers (first family) and all their words (second
+family) are, edges if both families say so of all 13 words: 128 bits each, which
+takes the place of comparing the words once more.
 """
 
 from __future__ import annotations
@@ -30,11 +35,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sieveworks.llm.common import materialize, pick
-from sieveworks.llm.words import SpanHash, Texts, chunks, splitmix
+from sieveworks.llm.words import SpanHash, Texts, byte_hashes, chunks
 
 WINDOW = 13
 MINIMIZER = 4
-LAST = (1 << 63) - 1  # stands for a null doc_id: larger than any
+LAST = 1 << 63  # where a null doc_id stands in the order: beyond any other
 U = np.uint64
 
 
@@ -44,14 +49,12 @@ class Paths:
     def __init__(self, window: int):
         self.window = window
         self.short = min(MINIMIZER, window)
-        self.of_byte = [splitmix(seed, 256) for seed in (11, 12)]
-        self.span = [SpanHash(seed) for seed in (13, 14)]
         self.words = [SpanHash(seed) for seed in (15, 16, 17)]
 
     def hashes(self, texts: Texts):
         """Two hashes of every word, the words' texts, the first word of each text, and every window's first word."""
         starts, ends, owner = texts.words()
-        values = [span(of_byte[texts.data], starts, ends) for of_byte, span in zip(self.of_byte, self.span)]
+        values = [byte_hashes(texts.data, starts, ends, seed) for seed in (11, 12)]
         first = np.searchsorted(owner, np.arange(len(texts)))
         at = np.arange(max(len(starts) - self.window + 1, 0))
         return values, owner, first, at[owner[at] == owner[at + self.window - 1]]
@@ -109,7 +112,8 @@ def repeated_spans(documents: DataFrame, window: int = WINDOW) -> DataFrame:
                 at = pa.array(text + first)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), _signed(minimizer), _signed(whole), pa.array(start << 8 | more)], ["key", "doc", "m", "x", "at"])
 
-    found = documents.select("key", "doc", "text").mapInArrow(records, "key long, doc long, m long, x long, at long")
+    kind = documents.schema["doc"].dataType.simpleString()
+    found = documents.select("key", "doc", "text").mapInArrow(records, f"key long, doc {kind}, m long, x long, at long")
     shared = found.groupBy(F.col("m").alias("of")).agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.min("x").alias("xl"), F.max("x").alias("xh")).where("low < high").select("of", "low", (F.col("xl") == F.col("xh")).alias("plain"))
     # Tables to join with are written, so that no aggregation is tied to the join's partitions and Spark can split a frequent minimizer.
     shared = materialize(shared, "shared").hint("shuffle_hash")
@@ -140,7 +144,7 @@ def repeated_spans(documents: DataFrame, window: int = WINDOW) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), _signed(one[keep]), _signed(two[keep]), pa.array(start[keep])], ["key", "doc", "e1", "e2", "at"])
 
     branching = owned.where("size(branch) > 0").select(F.col("key").alias("k"), "branch").hint("shuffle_hash")
-    apart = documents.join(branching, F.col("key") == F.col("k")).select("key", "doc", "text", "branch").mapInArrow(taken_apart, "key long, doc long, e1 long, e2 long, at long")
+    apart = documents.join(branching, F.col("key") == F.col("k")).select("key", "doc", "text", "branch").mapInArrow(taken_apart, f"key long, doc {kind}, e1 long, e2 long, at long")
     apart = materialize(apart, "edges")
     edges = apart.groupBy(F.col("e1").alias("f1"), F.col("e2").alias("f2")).agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("f1", "f2", "low")
     edges = materialize(edges, "repeated-edges").hint("shuffle_hash")
@@ -149,12 +153,19 @@ def repeated_spans(documents: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def keyed(documents: DataFrame) -> DataFrame:
-    """(key, doc_id, doc, text): doc orders documents; key is doc_id where that is unique, else a hash of the row."""
+    """(key, doc_id, doc, text): key names the row, doc orders documents, with a null doc_id beyond any other.
+
+    Where doc_ids are unique and none is null they are both.  Else rows are
+    written and numbered there, and null is the number after the largest doc_id;
+    if that number is beyond a long, doc is a decimal.
+    """
     rows = pick(documents, doc_id="long", text="string").withColumn("text", F.coalesce("text", F.lit("")))
-    doc = F.coalesce("doc_id", F.lit(LAST))
-    repeated = rows.groupBy("doc_id").count().where("count > 1").limit(1).count()
-    key = F.xxhash64(doc, F.xxhash64("text"), F.xxhash64(F.lit(1), F.col("text"))) if repeated else doc
-    return rows.select(key.alias("key"), "doc_id", doc.alias("doc"), "text")
+    n, ids, most = rows.agg(F.count("*"), F.count("doc_id"), F.max("doc_id")).first()
+    if n == ids and not rows.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        return rows.select(F.col("doc_id").alias("key"), "doc_id", F.col("doc_id").alias("doc"), "text")
+    rows = materialize(rows.withColumn("key", F.monotonically_increasing_id()), "numbered")
+    doc = F.coalesce("doc_id", F.lit((most or 0) + 1)) if (most or 0) + 1 < LAST else F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit(str(LAST)).cast("decimal(20,0)"))
+    return rows.select("key", "doc_id", doc.alias("doc"), "text")
 
 
 RESULT = "doc_id long, n_words long, n_removed long, kept string"

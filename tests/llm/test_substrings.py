@@ -63,3 +63,28 @@ def test_empty_table_and_digest(spark):
     assert substrings.remove_repeats(df, digest=True).first().kept == hashlib.sha256("é b".encode()).hexdigest()
     with pytest.raises(ValueError):
         substrings.remove_repeats(df, 4).count()
+
+
+def thue_morse(n, letters):
+    return "".join(letters[i.bit_count() & 1] for i in range(n))
+
+
+def test_words_that_linear_hashes_confuse(spark):
+    """Long words of two letters in Thue-Morse order and its complement are different words."""
+    rest = " ".join(f"w{i}" for i in range(12))
+    for n in (64, 1024, 4096):
+        rows = [(1, thue_morse(n, "ab") + " " + rest), (2, thue_morse(n, "ba") + " " + rest), (3, thue_morse(n, "ab") + " " + rest)]
+        got = run(spark, rows, 13)
+        assert got == brute(rows, 13) and [r[2] for r in got] == [0, 0, 13]
+
+
+def test_largest_and_missing_ids(spark):
+    """A null doc_id is larger than any, also than the largest long; rows that share a doc_id keep their own words."""
+    text = " ".join(f"w{i}" for i in range(30))
+    for rows in (
+        [((1 << 63) - 1, text), (None, text + " end"), (None, "other " + text)],
+        [((1 << 63) - 1, text), (-(1 << 63), "x " + text), (None, text)],
+        [(5, text + " a"), (5, "b " + text), (6, text), (6, "only " * 20)],
+        [(None, text), (None, text)],
+    ):
+        assert run(spark, rows, 13) == brute(rows, 13)

@@ -29,15 +29,73 @@ PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights r
 # The wording of public licences and of the usual notices.
 TEMPLATES = (
     ("mit", "<<beginOptional>>this <<var;words=1..4>> is<<endOptional>> released under the <<beginOptional>>terms of the<<endOptional>> mit license"),
+    ("mit", "mit license <<beginOptional>>copyright <<beginOptional>>c<<endOptional>> <<var;words=1..12>><<endOptional>> permission is hereby granted"),
+    ("mit", "mit license copyright <<beginOptional>>c<<endOptional>> <<var;words=1..8>>"),
     ("mit", "permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"software\"), to deal in the software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the software"),
+    ("mit-text", """
+        <<beginOptional>>the<<endOptional>> <<beginOptional>>mit license<<endOptional>> <<beginOptional>>copyright <<beginOptional>>c<<endOptional>> <<var;words=1..12>><<endOptional>>
+        permission is hereby granted, free of charge, to any person obtaining a copy of <<var;words=1..5>> and associated documentation files (the "software"),
+        to deal in the software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or
+        sell copies of the software, and to permit persons to whom the software is furnished to do so, subject to the following conditions:
+        the above copyright notice and this permission notice <<beginOptional>>(including the next paragraph)<<endOptional>> shall be included in all copies or substantial portions of the software.
+        the software is provided "as is", without warranty of any kind, express or implied, including but not limited to the warranties of merchantability,
+        fitness for a particular purpose and noninfringement. in no event shall <<var;words=1..8>> be liable for any claim, damages or other liability,
+        whether in an action of contract, tort or otherwise, arising from, out of or in connection with the software or the use or other dealings in the software"""),
     ("apache-2.0", "licensed under the apache license<<beginOptional>>, version<<endOptional>> 2.0"),
+    ("apache-2.0", """
+        licensed under the apache license, version 2.0 (the "license"); you may not use this <<var;words=1..4>> except in compliance with the license.
+        you may obtain a copy of the license at <<beginOptional>>http<<endOptional>> <<beginOptional>>https<<endOptional>> www.apache.org/licenses/license-2.0 unless required by applicable law or agreed to in writing, software
+        distributed under the license is distributed on an "as is" basis, without warranties or conditions of any kind, either express or implied"""),
+    ("apache-2.0", "apache license version 2.0, january 2004 <<beginOptional>>http<<endOptional>> <<beginOptional>>https<<endOptional>> <<beginOptional>>www.apache.org/licenses<<endOptional>> terms and conditions for use, reproduction, and distribution"),
     ("gpl-3.0", "<<beginOptional>>this <<var;words=1..4>> is<<endOptional>> licensed under the gnu general public license<<beginOptional>>, version<<endOptional>> 3"),
+    ("gpl-3.0", "under the terms of the gnu general public license as published by the free software foundation, either version 3 of the license<<beginOptional>>, or (at your option) any later version<<endOptional>>"),
+    ("gpl-3.0", "gnu general public license version 3, 29 june 2007"),
+    ("gpl-2.0", "under the terms of the gnu general public license <<beginOptional>>version 2<<endOptional>> as published by the free software foundation; either version 2 of the license<<beginOptional>>, or (at your option) any later version<<endOptional>>"),
+    ("gpl-2.0", "gnu general public license version 2, june 1991"),
+    ("lgpl-2.1", "under the terms of the gnu lesser general public license as published by the free software foundation; either version 2.1 of the license"),
+    ("lgpl-3.0", "under the terms of the gnu lesser general public license as published by the free software foundation, either version 3 of the license"),
+    ("agpl-3.0", "under the terms of the gnu affero general public license as published by the free software foundation, either version 3 of the license"),
+    ("mpl-2.0", "mozilla public license<<beginOptional>>, <<beginOptional>>v<<endOptional>> <<beginOptional>>version<<endOptional>><<endOptional>> 2.0"),
+    ("epl-2.0", "eclipse public license <<beginOptional>>v<<endOptional>> <<beginOptional>>version<<endOptional>> 2.0"),
     ("cc-by-nc", "licensed under <<beginOptional>>a creative commons<<endOptional>> cc by-nc <<beginOptional>><<var;words=1..2>><<endOptional>>"),
     ("cc-by-sa", "licensed under <<beginOptional>>a creative commons<<endOptional>> cc by-sa <<beginOptional>><<var;words=1..2>><<endOptional>>"),
+    ("cc-by-sa", "creative commons attribution-sharealike <<var;words=1..2>> <<beginOptional>>international<<endOptional>> license"),
+    ("cc-by-4.0", "creative commons attribution 4.0 international <<beginOptional>>public<<endOptional>> license"),
+    ("cc0-1.0", "cc0 1.0 universal"),
     ("isc", "permission to use, copy, modify, and<<beginOptional>>/or<<endOptional>> distribute this software for any purpose with or without fee is hereby granted"),
+    ("isc-text", """
+        <<beginOptional>>isc license<<endOptional>> <<beginOptional>>copyright <<beginOptional>>c<<endOptional>> <<var;words=1..12>><<endOptional>>
+        permission to use, copy, modify, and<<beginOptional>>/or<<endOptional>> distribute this software for any purpose with or without fee is hereby granted,
+        provided that the above copyright notice and this permission notice appear in all copies.
+        the software is provided "as is" and <<var;words=1..6>> disclaims all warranties with regard to this software including all implied warranties of
+        merchantability and fitness. in no event shall <<var;words=1..6>> be liable for any special, direct, indirect, or consequential damages or any damages
+        whatsoever resulting from loss of use, data or profits, whether in an action of contract, negligence or other tortious action, arising out of or in
+        connection with the use or performance of this software"""),
     ("bsd", "redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("bsd-2-clause", """
+        redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+        <<beginOptional>>1<<endOptional>> redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer<<beginOptional>>.<<endOptional>>
+        <<beginOptional>>2<<endOptional>> redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer
+        in the documentation and/or other materials provided with the distribution. this software is provided by <<var;words=1..10>> "as is" and any express or
+        implied warranties, including, but not limited to, the implied warranties of merchantability and fitness for a particular purpose are disclaimed"""),
+    ("bsd-3-clause", """
+        redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+        <<beginOptional>>1<<endOptional>> redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+        <<beginOptional>>2<<endOptional>> redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer
+        in the documentation and/or other materials provided with the distribution. <<beginOptional>>3<<endOptional>> neither the name of <<var;words=1..8>> nor the names of
+        <<beginOptional>>its<<endOptional>> <<beginOptional>>any<<endOptional>> contributors may be used to endorse or promote products derived from this software without specific prior written permission"""),
+    ("zlib", "this software is provided 'as-is', without any express or implied warranty. in no event will the authors be held liable for any damages arising from the use of this software"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
+    ("wtfpl", "do what the fuck you want to public license"),
     ("copyright", "copyright <<beginOptional>>(c)<<endOptional>> <<var;words=1..8>> all rights reserved"),
+    ("mit", "spdx-license-identifier: mit"),
+    ("apache-2.0", "spdx-license-identifier: apache-2.0"),
+    ("gpl-2.0", "spdx-license-identifier: gpl-2.0"),
+    ("gpl-3.0", "spdx-license-identifier: gpl-3.0"),
+    ("mpl-2.0", "spdx-license-identifier: mpl-2.0"),
+    ("bsd-2-clause", "spdx-license-identifier: bsd-2-clause"),
+    ("bsd-3-clause", "spdx-license-identifier: bsd-3-clause"),
+    ("isc", "spdx-license-identifier: isc"),
 )
 
 
@@ -139,6 +197,7 @@ class Scanner:
             # A text that lacks the template's longest mandatory word can't match.
             self.templates.append((label, Automaton(parts), max(words, key=len)))
         self.anchors = sorted({anchor for _, _, anchor in self.templates})
+        self.anchored = re.compile(b"|".join(map(re.escape, sorted(self.anchors, key=len, reverse=True)))).search
         self.starts = [a.first_words() for _, a, _ in self.templates]
         self.find = re.compile(WORD).findall
         self.count = re.compile(GAP + b"+")
@@ -157,7 +216,7 @@ class Scanner:
                 here = [i for i, w in enumerate(words) if w == phrase[0] and tuple(words[i : i + n]) == phrase]
                 places += here
                 base |= {label} if here else set()
-        held = {a for a in self.anchors if a in low}
+        held = {a for a in self.anchors if a in low} if self.anchored(low) else ()
         if held:
             for (label, automaton, anchor), starts in zip(self.templates, self.starts):
                 if anchor in held and label not in found and any(w in starts and automaton.match(words, i) is not None for i, w in enumerate(words)):

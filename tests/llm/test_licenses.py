@@ -56,3 +56,38 @@ def test_odd_rows(spark):
     assert got[5, 12000] == (3000, 1, 11997, "gpl", "gpl", 0.5)
     assert got[6, 3][0] == 0 and got[4, 1][0] == 0
     assert licenses.scan(df.limit(0)).count() == 0
+
+
+def test_whole_texts_and_notices():
+    """Whole licence texts with their replaceable parts filled in, the usual notices, and texts with a mandatory word changed."""
+    scanner = licenses.Scanner()
+    labels = lambda text: set(scanner(text.encode())[5].split(","))
+    mit = """MIT License
+
+    Copyright (c) 2020 Foo Bar <foo@bar.org>
+
+    Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal
+    in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+    copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+    The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+    THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+    FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+    LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN
+    THE SOFTWARE."""
+    assert labels(mit) >= {"mit", "mit-text"}
+    assert "mit-text" not in labels(mit.replace("tort", "court").replace("TORT", "COURT")) and "mit" in labels(mit.replace("TORT", "COURT"))
+    assert labels("MIT License\nCopyright (c) 2020 Foo") == {"mit"}
+    assert labels("// SPDX-License-Identifier: MIT\nint x;") == {"mit"} and "gpl-3.0" in labels("SPDX-License-Identifier: GPL-3.0-or-later")
+    assert labels("subject to the Mozilla Public License, v. 2.0") == labels("Mozilla Public License Version 2.0") == {"mpl-2.0"}
+    gpl = "it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    assert labels(gpl) == {"gpl", "gpl-3.0"} and "gpl-3.0" not in labels(gpl.replace("version 3", "version 4"))
+    bsd = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+    1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+    2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation
+    and/or other materials provided with the distribution.
+    3. Neither the name of the University nor the names of its contributors may be used to endorse or promote products derived from this software without
+    specific prior written permission."""
+    assert labels(bsd) == {"bsd", "bsd-3-clause"} == labels(bsd.replace("1.", "*").replace("2.", "*").replace("3.", "-"))
+    assert labels("a text about the permission to copy a license") == {""}

@@ -25,10 +25,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sieveworks.llm.common import materialize, pick, scratch
+from sieveworks.llm.words import mixed
 
 GENERATOR = 0b101011100011  # of the (23, 12) Golay code
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit and width
 MAX_DISTANCE = 4
+HOT = 1 << 14  # fingerprints of a key, beyond which the key is split
 
 
 def syndromes(words: np.ndarray) -> np.ndarray:
@@ -139,6 +141,38 @@ def linked(fps: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(members, np.uint64), np.array(roots, np.uint64)
 
 
+def _finer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, fp, varying) to rows (key, fp) with finer keys: the bits that vary among a key's fingerprints are cut
+    into MAX_DISTANCE + 1 parts, of which fingerprints within MAX_DISTANCE bits have one in common."""
+    for batch in batches:
+        keys, fps, varying = (batch.column(i).to_numpy().view(np.uint64) for i in range(3))
+        for mask in np.unique(varying):
+            bits = [b for b in range(64) if int(mask) >> b & 1]
+            here = varying == mask
+            for n in range(MAX_DISTANCE + 1):
+                part = np.uint64(sum(1 << b for b in bits[n :: MAX_DISTANCE + 1]))
+                key = mixed(mixed(keys[here] + np.uint64(n + 1)) ^ (fps[here] & part))
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(fps[here].view(np.int64))], ["key", "fp"])
+
+
+def split_keys(keys: DataFrame, rounds: int = 3) -> DataFrame:
+    """keys (key, fp), those of more than HOT fingerprints split, and again where that isn't enough; no link is lost.
+
+    Keys are counted with partial sums; the hot ones are written, and Spark
+    broadcasts them if they are few, or splits the join where one is frequent.
+    """
+    done = None
+    for _ in range(rounds):
+        counted = keys.groupBy(F.col("key").alias("hot")).agg(F.count("*").alias("n"), F.bit_and("fp").alias("all"), F.bit_or("fp").alias("any"))
+        hot = materialize(counted.where(F.col("n") > HOT).select("hot", F.col("all").bitwiseXOR(F.col("any")).alias("varying")), "hot-keys")
+        if not hot.limit(1).count():
+            break
+        cool = keys.join(hot, keys.key == hot.hot, "left_anti")
+        done = cool if done is None else done.unionAll(cool)
+        keys = keys.join(hot, keys.key == hot.hot).select("key", "fp", "varying").mapInArrow(_finer, "key long, fp long")
+    return keys if done is None else done.unionAll(keys)
+
+
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by key.  Buckets of two are compared at once, larger ones by growing components."""
 
@@ -211,10 +245,13 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     spark = documents.sparkSession
     docs = materialize(pick(documents, doc_id="long", text="string").mapInArrow(_fingerprints, "doc_id long, fp long"), "fingerprints")
     distinct = materialize(docs.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
-    keys = distinct.select("fp").mapInArrow(_keys, "key long, fp long")
+    keys = split_keys(distinct.select("fp").mapInArrow(_keys, "key long, fp long"))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     links = keys.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_links, "a long, b long")
     roots = components(links)
     rooted = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    named = rooted.join(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "root").select(F.col("fp").alias("of"), "component_id", "root")
+    # Written, so that the aggregation isn't tied to the join's partitions and Spark can split a giant component.
+    rooted = materialize(rooted, "rooted")
+    smallest = materialize(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "components")
+    named = rooted.join(smallest, "root").select(F.col("fp").alias("of"), "component_id", "root")
     return docs.join(named, docs.fp == named.of).select("doc_id", "fp", "component_id", "root")

@@ -92,3 +92,34 @@ def test_odd_rows(spark):
     assert {r.component_id for r in got if r.doc_id in (4, 5, None)} == {4}
     assert by[7].fp != by[8].fp
     assert simhash.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_hot_keys_are_split_and_lose_no_link(spark, monkeypatch):
+    """Fingerprints that share many key bits: split once and twice, the components are those of brute force."""
+    rng = np.random.default_rng(4)
+    base = int(rng.integers(0, 2**63))
+    fps = {}
+    for i in range(600):
+        x = base ^ int(rng.integers(0, 2**14)) << int(rng.choice([0, 25, 45]))
+        fps[i] = x if i % 3 or not i else fps[i - 1] ^ 1 << int(rng.integers(0, 64)) ^ 1 << int(rng.integers(0, 64))
+    distinct = spark.createDataFrame([(x - (1 << 64) if x >> 63 else x,) for x in set(fps.values())], "fp long").repartition(3)
+    keys = distinct.mapInArrow(simhash._keys, "key long, fp long")
+    want = brute_components({x: x for x in fps.values()})
+    for hot in (1 << 14, 40, 3):
+        monkeypatch.setattr(simhash, "HOT", hot)
+        split = simhash.split_keys(keys)
+        edges = split.repartition(3, "key").sortWithinPartitions("key").mapInArrow(simhash._links, "a long, b long").collect()
+        root = {x: x for x in want}
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for a, b in edges:
+            x, y = sorted((find(a % (1 << 64)), find(b % (1 << 64))))
+            root[y] = x
+        groups = lambda of: sorted(sorted(x for x in want if of(x) == r) for r in {of(x) for x in want})
+        assert groups(find) == groups(want.get)
+        if hot < 1 << 14:
+            assert split.groupBy("key").count().agg({"count": "max"}).first()[0] < keys.groupBy("key").count().agg({"count": "max"}).first()[0]

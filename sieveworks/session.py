@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -25,17 +27,37 @@ def session(name: str = "sieveworks", **conf: str) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or a temporary folder of our own where that is unset; checkpoints go there too."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    """spark.checkpoint.dir; checkpoints go there too.
+
+    Where it is unset, a temporary folder that goes with the process, and only
+    on a local master: executors elsewhere couldn't see it, so that raises
+    RuntimeError.
+    """
     context = spark.sparkContext._jsc.sc()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not context.getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(root or tempfile.mkdtemp(prefix="sieveworks-"))
+        if not root:
+            if not spark.sparkContext.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            root = tempfile.mkdtemp(prefix="sieveworks-")
+            atexit.register(shutil.rmtree, root, ignore_errors=True)
+        spark.sparkContext.setCheckpointDir(root)
     return (root or context.getCheckpointDir().get()).rstrip("/")
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/sieveworks/{spark.sparkContext.applicationId}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df as Parquet in the shared folder: computed once, and safe when executors are lost."""
+    """df as Parquet in the shared folder: computed once, and safe when executors are lost.  cleanup() deletes it."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/sieveworks/{name}-{uuid.uuid4().hex}"
+    path = f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def cleanup(spark: SparkSession) -> None:
+    """Deletes all tables that this application has written to the shared folder; results not yet read or written elsewhere go with them."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sieveworks.llm import decontam, langid, packing, pii, simhash
-from sieveworks.llm.common import materialize
+from sieveworks.llm.common import materialize, pick
 from sieveworks.llm.queries import tokenizer_path
 
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+KINDS = {"doc_id": "long", "text": "string", "lang": "string", "source": "string", "n_chars": "long"}
+COLUMNS = tuple(KINDS)
 
 
 def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -26,8 +27,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null, empty and letterless texts are of no language.  Every row has its own
     verdict, also where doc_ids repeat or are null.
     """
+    docs = pick(docs, **KINDS)
     model = langid.train(docs.where(~langid.held_out()))
-    return langid.annotate(docs.select(*COLUMNS), model, "lang").where(f"lang <> '{langid.UNKNOWN}' AND score >= {langid.MIN_MARGIN}").select(*COLUMNS)
+    return langid.annotate(docs, model, "lang").where(f"lang <> '{langid.UNKNOWN}' AND score >= {langid.MIN_MARGIN}").select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,6 +39,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     share its smallest doc_id, the first by text, lang, source and n_chars stays;
     rows of different components that share a doc_id, or have none, all stay.
     """
+    docs = pick(docs, **KINDS)
     found = materialize(simhash.near_duplicates(docs), "near-duplicates")
     smallest = F.col("doc_id").eqNullSafe(F.col("component_id"))
     ids = found.groupBy("doc_id").agg(F.count("*").alias("n"), F.max(smallest).alias("kept")).where("kept")
@@ -57,6 +60,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows are named by a hash of doc_id and text, so that a clean text stays where
     another with its doc_id, or with none, goes.  Null and empty texts stay.
     """
+    docs = pick(docs, **KINDS)
     name = F.xxhash64(F.col("doc_id"), F.col("text"))
     leaks = decontam.find(docs.select(name.alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     leaks = leaks.select(F.col("doc_id").alias("of")).distinct().hint("shuffle_hash")
@@ -68,7 +72,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     Every row stays; a null text stays null, and its n_chars is null.
     """
-    return pii.redact(docs.select(*COLUMNS), pii.train(docs)).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    docs = pick(docs, **KINDS)
+    return pii.redact(docs, pii.train(docs)).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def online_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -89,7 +94,12 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written before the next begins."""
+    """All stages over documents, each written before the next begins; the rows of the last.
+
+    Nulls in any column, empty and very long texts, repeated rows and an empty
+    table are handled as the stages say.  Extra columns are left out, also ones
+    whose names differ from those of documents by case only.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")

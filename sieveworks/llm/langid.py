@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from sieveworks.llm.common import pick
 
 SAMPLED_DOCUMENTS = 128  # a language, at most
-SAMPLED_CHARS = 1024  # of each sampled document, at most
+SAMPLED_ROWS = 1 << 14  # of all languages together, about: with more than 128 languages each has fewer
 CHUNK = 4096  # bytes compressed at once, so that the dictionary counts in every part of a long text
 SHORT = 96  # bytes; shorter texts are repeated up to that
 LEVELS = (3, 9)  # the second decides ties of the first
@@ -35,16 +35,20 @@ def letters(text: str) -> bytes:
     return b" ".join(text.lower().encode().translate(MARKS).split())
 
 
-def train(labelled: DataFrame, documents: int = SAMPLED_DOCUMENTS, chars: int = SAMPLED_CHARS) -> list[tuple[str, bytes]]:
+def train(labelled: DataFrame, documents: int = SAMPLED_DOCUMENTS, total: int = SAMPLED_ROWS, chars: int | None = None) -> list[tuple[str, bytes]]:
     """(language, dictionary content), the most frequent language first, from rows (doc_id, text, lang).
 
-    The sample is bounded: of each language the `documents` rows with letters
-    whose doc_ids hash lowest, the first `chars` characters of each.  Frequencies
-    are over all rows.  Rows without a language, a text or a letter teach nothing.
+    The sample is of bounded rows: of each language the `documents` rows with
+    letters whose doc_ids hash lowest, fewer (one at least) where there are so
+    many languages that they would be over `total`.  Their texts are taken whole,
+    unless a caller bounds them to `chars` characters.
+    Frequencies are over all rows.  Rows without a language, a text or a letter
+    teach nothing.
     """
     rows = pick(labelled, doc_id="long", text="string", lang="string").where("lang IS NOT NULL AND text RLIKE '\\\\p{L}'")
-    rows = rows.select("lang", F.substring("text", 1, chars).alias("text"), F.xxhash64("doc_id").alias("h"))
+    rows = rows.select("lang", (F.substring("text", 1, chars) if chars else F.col("text")).alias("text"), F.xxhash64("doc_id").alias("h"))
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    documents = max(1, min(documents, total // max(len(counts), 1)))
     order = Window.partitionBy("lang").orderBy("h", "text")
     chosen = rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= documents).collect()
     texts: dict[str, list] = {}

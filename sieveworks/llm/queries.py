@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sieveworks.llm import decontam, langid, licenses, packing, pii, quality, simhash, substrings, urls, warc
-from sieveworks.llm.common import scratch
+from sieveworks.llm.common import pick, scratch
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,7 +36,7 @@ def op3_debruijn_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_compression_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = _table(spark, sf_dir, "documents")
+    documents = pick(_table(spark, sf_dir, "documents"), doc_id="long", text="string", lang="string")
     model = langid.train(documents.where(~langid.held_out()))
     return langid.classify(documents, model).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 

@@ -41,6 +41,51 @@ def test_training_is_bounded(spark):
     assert name == "xx" and len(content) <= 3 * 101
 
 
+def test_query_against_brute_force(spark, sf):
+    """Sample, dictionaries, sizes, ties and margins computed anew from the definition."""
+    import re
+
+    import zstandard
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet").withColumn("h", F.xxhash64("doc_id")).collect()
+    reduced = lambda t: b" ".join(re.sub(rb"[\x00-\x40\x5b-\x60\x7b-\x7f]", b" ", t.lower().encode()).split())
+    learned = [r for r in docs if zlib.crc32(str(r.doc_id).encode()) % 5 and r.lang is not None and r.text and any(c.isalpha() for c in r.text)]
+    names = sorted({r.lang for r in learned}, key=lambda x: (-sum(r.lang == x for r in learned), x))
+    best = {x: sorted((r for r in learned if r.lang == x), key=lambda r: (r.h, r.text))[:128] for x in names}
+    words = [zstandard.ZstdCompressionDict(reduced("\n".join(r.text for r in best[x][::-1])), dict_type=zstandard.DICT_TYPE_RAWCONTENT) for x in names]
+
+    def sizes(data, level):
+        parts = [data[i : i + 4096] for i in range(0, len(data), 4096)]
+        return [sum(len(zstandard.ZstdCompressor(level=level, dict_data=w, write_content_size=False, write_dict_id=False).compress(p)) for p in parts) for w in words]
+
+    want = {}
+    for r in docs:
+        data = reduced(r.text or "")
+        if not any(c.isalpha() for c in r.text or ""):
+            want[r.doc_id] = ("und", 0.0)
+            continue
+        if len(data) < 96:
+            data = b" ".join([data] * (96 // max(len(data), 1) + 1))
+        first = sizes(data, 3)
+        tied = [i for i, n in enumerate(first) if n == min(first)]
+        if len(tied) > 1:
+            finer = sizes(data, 9)
+            want[r.doc_id] = (names[min(tied, key=lambda i: (finer[i], i))], 0.0)
+        else:
+            second = sorted(first)[1]
+            want[r.doc_id] = (names[tied[0]], (second - min(first)) / second)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in op4_compression_langid(spark, sf).collect()}
+    assert {d: x[0] for d, x in got.items()} == {d: x[0] for d, x in want.items()}
+    assert all(got[d][1] == pytest.approx(want[d][1]) for d in want)
+
+
+def test_many_languages_share_the_sample(spark):
+    rows = [(i, f"text of document {i} in its language", f"l{i % 40}") for i in range(400)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), total=80)
+    assert len(model) == 40 and all(content.count(b"text") == 2 for _, content in model)
+
+
 def test_annotate_keeps_columns(spark, model):
     df = spark.createDataFrame([(1, "the cat", "zz", 5)], "doc_id long, text string, lang string, n int")
     [r] = langid.annotate(df, model, "lang").collect()

@@ -57,6 +57,19 @@ def test_empty_and_odd_documents(spark, tmp_path):
         assert (docs.count() > 0) == bool(n)
 
 
+def test_clashing_columns(spark, tmp_path):
+    """Columns whose names differ by case only stand beside those of documents; each stage gives what it gives without them."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(i, f"the cat and the dog went home with number {i} and all of the other animals", "en", "x", 5) for i in range(4)]
+    bench = tmp_path / "benchmark.parquet"
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(bench))
+    plain = spark.createDataFrame(rows, schema)
+    odd = spark.createDataFrame([(*r, "y", 1, 2, 3) for r in rows], schema + ", Text string, DOC_ID long, Lang int, fp long")
+    for _, f in corpus_pipeline.STAGES:
+        want, got = f(spark, plain, str(tmp_path)), f(spark, odd, str(tmp_path))
+        assert got.columns == want.columns and got.count() == want.count() > 0
+
+
 def test_repeated_and_missing_ids_go_by_row(spark, tmp_path):
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     a, b, c = ("the cat and the dog went home with this", "rain falls on seven green hills far away from here", "nobody counted the small lamps along our quiet street")

@@ -19,12 +19,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sieveworks.llm.common import materialize, pick
+from sieveworks.llm.simhash import components
 
 VERSION = "WARC/1.1"
 EOL = "\r\n"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+REPEATED = "warc-concurrent-to"
 DATE = "2024-01-01T00:00:00Z"
-RECORD = "record_type string, record_id string, concurrent_to string, refers_to string, target_uri string, payload_digest string, payload_bytes long, payload binary, fields map<string,string>"
+RECORD = "record_type string, record_id string, concurrent_to array<string>, refers_to string, target_uri string, payload_digest string, payload_bytes long, payload binary, fields map<string,string>"
 
 
 def sha1_base32(payload: Column) -> Column:
@@ -110,6 +112,7 @@ class _Inflated(io.RawIOBase):
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """(headers with lower-case names, block) of every record of a plain or gzipped archive, by content length.
 
+    WARC-Concurrent-To may be repeated: its values stand on lines of their own.
     Raises ValueError where a record is cut short or doesn't begin with a version line.
     """
     stream = io.BufferedReader(_Inflated(data), 1 << 16) if data[:2] == b"\x1f\x8b" else io.BytesIO(data)
@@ -121,7 +124,8 @@ def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         headers: dict[str, str] = {}
         while (line := stream.readline()).strip():
             name, _, value = line.decode("utf-8").partition(":")
-            headers[name.strip().lower()] = value.strip()
+            name, value = name.strip().lower(), value.strip()
+            headers[name] = f"{headers[name]}\n{value}" if name == REPEATED and name in headers else value
         size = int(headers["content-length"])
         block = stream.read(size)
         if len(block) < size:
@@ -139,7 +143,7 @@ def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([(n, pa.string()) for n in ("record_type", "record_id", "concurrent_to", "refers_to", "target_uri", "payload_digest")] + [("payload_bytes", pa.int64()), ("payload", pa.binary()), ("fields", pa.map_(pa.string(), pa.string()))])
+        schema = pa.schema([(n, pa.list_(pa.string()) if n == "concurrent_to" else pa.string()) for n in ("record_type", "record_id", "concurrent_to", "refers_to", "target_uri", "payload_digest")] + [("payload_bytes", pa.int64()), ("payload", pa.binary()), ("fields", pa.map_(pa.string(), pa.string()))])
         for batch in batches:
             for content in batch.column(0):
                 rows, held = [], 0
@@ -154,7 +158,7 @@ def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
                         digest = found
                     elif kind == "metadata":
                         fields = [(k.strip(), v.strip()) for k, _, v in (x.partition(":") for x in block.decode("utf-8").splitlines() if x)]
-                    rows.append((kind, headers.get("warc-record-id"), headers.get("warc-concurrent-to"), headers.get("warc-refers-to"), headers.get("warc-target-uri"), digest, None if payload is None else len(payload), payload if payloads else None, fields))
+                    rows.append((kind, headers.get("warc-record-id"), headers[REPEATED].split("\n") if REPEATED in headers else None, headers.get("warc-refers-to"), headers.get("warc-target-uri"), digest, None if payload is None else len(payload), payload if payloads else None, fields))
                     held += len(block) if payloads else 200
                     if held > 4_000_000:
                         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
@@ -166,18 +170,54 @@ def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     return files.mapInArrow(run, RECORD)
 
 
-def assemble(records: DataFrame) -> DataFrame:
-    """One row per capture: capture_id and the structs request, response, revisit, metadata, each null if it is missing.
+def capture_ids(records: DataFrame) -> DataFrame | None:
+    """(record_id, capture) of the records that name others or are named, over all their concurrent-to identifiers.
+
+    Records that name each other, in any direction and over any number of steps,
+    are of one capture, which has the name of its smallest response or revisit, or
+    else of its smallest identifier.  None where every record names one other at
+    most, which names none itself, as archives mostly have it: that one names the
+    capture, and no components need be sought.
+    """
+    links = records.where("record_id IS NOT NULL").select("record_id", F.explode("concurrent_to").alias("to"))
+    links = materialize(links.where("to <> record_id").distinct(), "concurrent")
+    several = links.groupBy("record_id").agg(F.count("*").alias("n")).where("n > 1").select("record_id")
+    onward = links.join(links.select(F.col("record_id").alias("of")), F.col("to") == F.col("of"), "left_semi").select("record_id")
+    if not several.unionAll(onward).limit(1).count():
+        return None
+    found = materialize(components(links.select(F.col("record_id").alias("a"), F.col("to").alias("b"))), "linked")
+    every = found.unionAll(found.select(F.col("root").alias("node"), "root").distinct())
+    answers = records.where("record_type IN ('response', 'revisit')").select(F.col("record_id").alias("answer"))
+    named = every.join(answers, every.node == answers.answer, "left").groupBy(F.col("root").alias("of")).agg(F.coalesce(F.min("answer"), F.first("root")).alias("capture"))
+    named = materialize(named, "named")
+    return every.join(named, every.root == named.of).select(F.col("node").alias("of"), "capture")
 
-    Records are joined through concurrent-to identifiers: one that names none is
-    the capture itself.  Where a record is repeated, the capture comes back as
-    often as its response or revisit is there, once at least.  Records without
-    an identifier are left out.
+
+def assemble(records: DataFrame) -> DataFrame:
+    """One row per capture: capture_id, the structs request, response, revisit, metadata, each null if it is missing, and records.
+
+    Records are joined through all their concurrent-to identifiers (capture_ids).
+    records: every record of the capture without its payload, sorted by type and
+    identifier; where a type is there several times, its struct is the largest.
+    The capture comes back as often as its response or revisit is there, once at
+    least.  A record without an identifier goes with the first that it names, and
+    is left out if it names none.
     """
-    capture = F.coalesce("concurrent_to", "record_id")
-    body = F.struct("record_id", "target_uri", "refers_to", "payload_digest", "payload_bytes", "payload", F.map_entries("fields").alias("fields"))
+    told = ["record_id", "target_uri", "refers_to", "payload_digest", "payload_bytes"]
+    fields = F.map_entries("fields").alias("fields")
+    body = F.struct(*told, "payload", fields)
+    named = F.get("concurrent_to", F.lit(0))
+    ids = capture_ids(records)
+    if ids is None:
+        records = records.withColumn("capture_id", F.coalesce(named, "record_id"))
+    else:
+        records = records.join(ids, F.coalesce("record_id", named) == F.col("of"), "left").withColumn("capture_id", F.coalesce("capture", "record_id", named))
     kinds = ("request", "response", "revisit", "metadata")
-    grouped = records.where(capture.isNotNull()).groupBy(capture.alias("capture_id")).agg(*[F.max(F.when(F.col("record_type") == k, body)).alias(k) for k in kinds], F.count_if(F.col("record_type").isin("response", "revisit")).alias("n"))
+    grouped = records.where("capture_id IS NOT NULL").groupBy("capture_id").agg(
+        *[F.max(F.when(F.col("record_type") == k, body)).alias(k) for k in kinds],
+        F.array_sort(F.collect_list(F.struct("record_type", *told, fields))).alias("records"),
+        F.count_if(F.col("record_type").isin("response", "revisit")).alias("n"),
+    )
     return grouped.withColumn("n", F.explode(F.sequence(F.lit(1), F.greatest(F.col("n"), F.lit(1)).cast("int")))).drop("n")
 
 

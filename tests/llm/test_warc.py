@@ -84,6 +84,22 @@ def test_missing_parts(spark, tmp_path):
     assert set(rows) == {"<a>", "<b>"} and rows["<a>"].response is None and rows["<b>"].response.payload == b"body"
 
 
+def test_every_concurrent_to_counts(spark, tmp_path):
+    """Repeated headers, chains of records and several records of a type end in one capture, whichever record names which."""
+    (tmp_path / "w").mkdir()
+    two = b"WARC/1.1\r\nWARC-Type: metadata\r\nWARC-Record-ID: <m1>\r\nWARC-Concurrent-To: <r1>\r\nWARC-Concurrent-To: <q1>\r\nContent-Length: 1\r\n\r\nx\r\n\r\n"
+    data = record(b"GET", WARC_Type="request", WARC_Record_ID="<q1>", WARC_Concurrent_To="<r1>") + record(b"GET", WARC_Type="request", WARC_Record_ID="<q2>", WARC_Concurrent_To="<q1>")
+    data += record(b"H\r\n\r\none", WARC_Type="response", WARC_Record_ID="<r1>") + two + record(b"a: b", WARC_Type="metadata", WARC_Record_ID="<m2>", WARC_Concurrent_To="<q2>")
+    data += record(b"GET", WARC_Type="request", WARC_Record_ID="<q9>") + record(b"H\r\n\r\nnine", WARC_Type="response", WARC_Record_ID="<r9>", WARC_Concurrent_To="<q9>")
+    data += record(b"H\r\n\r\nalone", WARC_Type="response", WARC_Record_ID="<z>") + record(b"GET", WARC_Type="request", WARC_Concurrent_To="<z>")
+    (tmp_path / "w/a.warc").write_bytes(data)
+    read = warc.read(spark, str(tmp_path / "w"))
+    assert {r.record_id: r.concurrent_to for r in read.collect()}["<m1>"] == ["<r1>", "<q1>"]
+    rows = {r.capture_id: r for r in warc.assemble(read).collect()}
+    assert {c: [x.record_id for x in r.records] for c, r in rows.items()} == {"<r1>": ["<m1>", "<m2>", "<q1>", "<q2>", "<r1>"], "<r9>": ["<q9>", "<r9>"], "<z>": [None, "<z>"]}
+    assert [rows[c].response.payload for c in ("<r1>", "<r9>", "<z>")] == [b"one", b"nine", b"alone"]
+
+
 def test_transactions_carry_payloads(spark, tmp_path):
     """A response's payload comes out of its archive whole; a revisit has none of its own."""
     pages = [(1, "http://a.example/", "<p>one</p>"), (2, "http://a.example/2", "<p>two é\x00\r\n\r\n</p>" * 1000), (3, "http://a.example/3", "<p>one</p>")]

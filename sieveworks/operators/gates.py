@@ -7,9 +7,11 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sieveworks.functions import png
 from sieveworks.operators import shards
+from sieveworks.session import written
 
 # What a sample's metadata has.
 METADATA = ("prompt", "negative_prompt", "seed", "model_id", "num_inference_steps", "guidance_scale", "scheduler", "resolution")
@@ -53,23 +55,25 @@ def count_gate(samples: DataFrame, target: int) -> DataFrame:
 
 
 def image_problems(samples: DataFrame, resolution: int) -> DataFrame:
-    """(id, problem) of every sample (id, png): null if it decodes to the wanted size.
+    """(id, problem) of every sample (id, png), and its other columns: null if it decodes to the wanted size.
 
     Bytes are checked where they are read; nothing but the verdict leaves the task.
     """
+    rows = samples.withColumn("id", F.col("id").cast("string"))
+    others = [f for f in rows.schema if f.name not in ("png", "problem")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            for data in batch.column(1).to_pylist():
+            for data in batch.column("png").to_pylist():
                 what = png.problem(data)
                 if what is None:
                     w, h = int.from_bytes(data[16:20], "big"), int.from_bytes(data[20:24], "big")
                     what = None if w == h == resolution else f"size {w}x{h}, expected {resolution}x{resolution}"
                 found.append(what)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], ["id", "problem"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in others), pa.array(found, pa.string())], [*(f.name for f in others), "problem"])
 
-    return samples.select(F.col("id").cast("string").alias("id"), "png").mapInArrow(run, "id string, problem string")
+    return rows.mapInArrow(run, T.StructType([*others, T.StructField("problem", T.StringType())]))
 
 
 def _failing_gate(name: str, rows: DataFrame, what: str) -> DataFrame:
@@ -83,14 +87,17 @@ def _failing_gate(name: str, rows: DataFrame, what: str) -> DataFrame:
 
 def image_gate(samples: DataFrame, resolution: int) -> DataFrame:
     """AGG-10."""
-    return _failing_gate("image_integrity", image_problems(samples, resolution), "images")
+    return _failing_gate("image_integrity", image_problems(samples.select("id", "png"), resolution), "images")
 
 
 def metadata_gate(samples: DataFrame) -> DataFrame:
     """AGG-11: samples (id, json)."""
-    lacking = keys_missing(F.col("json"))
-    problem = F.when(F.col("json").isNull(), "missing metadata JSON").when(F.size(lacking) > 0, F.concat(F.lit("missing fields "), F.array_join(lacking, ", ")))
-    return _failing_gate("metadata", samples.select("id", problem.alias("problem")), "metadata files")
+    return _failing_gate("metadata", samples.select("id", metadata_problem(F.col("json")).alias("problem")), "metadata files")
+
+
+def metadata_problem(text: Column) -> Column:
+    lacking = keys_missing(text)
+    return F.when(text.isNull(), "missing metadata JSON").when(F.size(lacking) > 0, F.concat(F.lit("missing fields "), F.array_join(lacking, ", ")))
 
 
 def coverage_gate(samples: DataFrame, target: int, size: int) -> DataFrame:
@@ -122,8 +129,15 @@ def completed(gates: DataFrame) -> DataFrame:
 
 
 def validate(samples: DataFrame, target: int, size: int, resolution: int) -> DataFrame:
-    """All gates over samples (id, png, json), one row an id."""
-    return completed(count_gate(samples, target).unionByName(image_gate(samples, resolution)).unionByName(metadata_gate(samples)).unionByName(coverage_gate(samples, target, size)))
+    """All gates over samples (id, png, json), one row an id.
+
+    Samples are read once: their verdicts are written, and the gates are made of these.
+    """
+    checked = samples.select("id", "png", metadata_problem(F.col("json")).alias("metadata"))
+    checked = written(image_problems(checked, resolution), "verdicts")
+    images, metadata = checked.select("id", "problem"), checked.select("id", F.col("metadata").alias("problem"))
+    found = count_gate(checked, target).unionByName(_failing_gate("image_integrity", images, "images"))
+    return completed(found.unionByName(_failing_gate("metadata", metadata, "metadata files")).unionByName(coverage_gate(checked, target, size)))
 
 
 def failure_breakdown(gates: DataFrame) -> DataFrame:

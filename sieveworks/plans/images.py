@@ -83,7 +83,10 @@ def workspace(spark: SparkSession, c: RunConfig) -> DataFrame | None:
 
 
 def package(spark: SparkSession, c: RunConfig) -> list[int]:
-    """SNK-8, FLT-8, FLT-9: writes the shards that are whole and not marked; returns those that aren't whole."""
+    """SNK-8, FLT-8, FLT-9: writes the shards that are whole, not marked and not on disk; returns those that aren't whole.
+
+    An archive that stands under its name counts as done, whatever is in it, and is marked.
+    """
     marks = f"{c.report_dir}/progress"
     samples = workspace(spark, c)
     wanted = shards.packed(spark, c.target_count, c.shard_size)
@@ -92,6 +95,9 @@ def package(spark: SparkSession, c: RunConfig) -> list[int]:
     found = samples.where(f"idx < {c.shard_size}").dropDuplicates(["id"])
     whole = found.groupBy("shard_id").agg(F.count("*").alias("n")).join(wanted, "shard_id").where("n = wanted")
     todo = progress.pending(whole.select(F.col("shard_id").alias("todo")), progress.load(spark, marks), "shard", "todo")
+    there = tar.present(spark, c.shards_dir).distinct()
+    progress.append(progress.pending(there.select(F.col("shard_id").alias("id")), progress.load(spark, marks), "shard"), "shard", marks)
+    todo = todo.join(there, F.col("todo") == there.shard_id, "left_anti")
     written = tar.write(found.join(F.broadcast(todo), F.col("shard_id") == F.col("todo"), "left_semi"), c.shards_dir)  # a row a shard
     progress.append(written.select(F.col("shard_id").alias("id")), "shard", marks)
     return [r["shard_id"] for r in wanted.join(whole, "shard_id", "left_anti").orderBy("shard_id").collect()]

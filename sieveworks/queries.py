@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sieveworks.functions import draws, png, text
-from sieveworks.operators import dedup, diversity, gates, inference, rules, shards
+from sieveworks.operators import dedup, diversity, gates, inference, rules, shards, telemetry
 from sieveworks.plans import generate
-from sieveworks.session import shared_folder
-from sieveworks.sources import jsonl, tar
+from sieveworks.session import shared_folder, written
+from sieveworks.sources import jsonl, progress, tar
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -77,7 +77,17 @@ def _wanted(spark, sf_dir):
     return table(spark, sf_dir, "documents").groupBy((F.col("doc_id") % 4).alias("shard_id")).agg(F.expr("count(*) div 2").alias("wanted"))
 
 
-@query()
+def _sequential_sql(n_shards: int) -> str:
+    """One shard after another: what is consumed of each depends on what those before have accepted."""
+    out = [f"WITH c AS ({SHARDED}), w AS (SELECT shard_id, count(*) // 2 AS wanted FROM c GROUP BY shard_id)"]
+    for i in range(n_shards):
+        seen = " UNION ALL ".join(f"SELECT hash FROM a{j}" for j in range(i)) or "SELECT NULL AS hash WHERE false"
+        out.append(f"f{i} AS (SELECT shard_id, hash, min(attempt) AS attempt FROM c WHERE shard_id = {i} AND hash IS NOT NULL AND hash NOT IN ({seen}) GROUP BY shard_id, hash)")
+        out.append(f"a{i} AS (SELECT *, max(attempt) OVER () AS cut FROM (SELECT *, row_number() OVER (ORDER BY attempt) - 1 AS record_idx FROM f{i}) WHERE record_idx < (SELECT wanted FROM w WHERE shard_id = {i}))")
+    return ", ".join(out) + " " + " UNION ALL ".join(f"SELECT shard_id, attempt, hash, record_idx, cut FROM a{i}" for i in range(n_shards))
+
+
+@query(_sequential_sql(4))
 def sequential_dedup(spark, sf_dir):
     """What a run over four shards, one after another, accepts."""
     cuts, accepted = dedup.consumed(_sharded(spark, sf_dir), _wanted(spark, sf_dir))
@@ -421,8 +431,6 @@ def metadata_keys(spark, sf_dir):
 
 @query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)")
 def resume_pending(spark, sf_dir):
-    from sieveworks.sources import progress
-
     marks = table(spark, sf_dir, "labels").select(F.lit("sample").alias("kind"), F.col("doc_id").cast("string").alias("id"))
     return progress.pending(table(spark, sf_dir, "documents").select("doc_id"), marks, "sample", "doc_id")
 
@@ -493,9 +501,152 @@ def records_digest(spark, sf_dir):
     return jsonl.digest(generate_prompts(spark, sf_dir))
 
 
-@query()
+@query("SELECT conv_id || '-' || turn AS id, CAST(16 AS BIGINT) AS width, CAST(16 AS BIGINT) AS height, 0 AS n_missing FROM conversations")
 def image_inference(spark, sf_dir):
     """Images of all conversations by the stub model, with their checks."""
     rows = table(spark, sf_dir, "conversations").select(F.lit(0).alias("shard_id"), F.col("turn").alias("idx"), F.concat_ws("-", "conv_id", "turn").alias("id"), F.col("text").alias("positive_prompt"), F.lit("").alias("negative_prompt"), F.col("conv_id").alias("seed"))
     made = inference.generate(rows, {"batch_size": 4, "model_id": "stub", "num_inference_steps": 1, "guidance_scale": 7.0, "scheduler": "none", "resolution": 16})
     return made.select("id", png.width(F.col("png")).alias("width"), png.height(F.col("png")).alias("height"), F.size(gates.keys_missing(F.col("json"))).alias("n_missing"))
+
+
+# --- Lints of components, lines, progress, archives and gates ----------------------------------------------------
+
+GAPS_SQL = {"subject": "'s'", "eyes": "CASE WHEN p_size % 5 = 0 THEN '' ELSE 'blue' END", "hair_color": "CASE WHEN p_size % 7 <> 0 THEN p_brand END", "hair_style": "p_type", "expression": "CASE WHEN p_size % 11 = 0 THEN '' ELSE 'smile' END"}
+
+
+@query("SELECT p_partkey, array_to_string(list_filter([" + ", ".join(f"CASE WHEN coalesce({v}, '') = '' THEN 'missing {k}' END" for k, v in GAPS_SQL.items()) + "], lambda m: m IS NOT NULL), '; ') AS violations FROM part")
+def component_lint(spark, sf_dir):
+    size = F.col("p_size")
+    rows = table(spark, sf_dir, "part").select(
+        "p_partkey",
+        F.lit("s").alias("subject"),
+        F.when(size % 5 == 0, "").otherwise("blue").alias("eyes"),
+        F.when(size % 7 != 0, F.col("p_brand")).alias("hair_color"),
+        F.col("p_type").alias("hair_style"),
+        F.when(size % 11 == 0, "").otherwise("smile").alias("expression"),
+    )
+    return rows.select("p_partkey", F.array_join(rules.component_lint(), "; ").alias("violations"))
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    folder = f"{shared_folder(spark)}/sieveworks/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    return folder.removeprefix("file://") if folder.startswith("file:///") else folder
+
+
+JSONL_TARGET = 60
+
+
+@query(f"""
+SELECT line_no, conv_id || '-' || turn AS id, turn AS seed, CASE WHEN turn % 3 = 1 THEN NULL ELSE role END AS negative_prompt, CASE WHEN turn % 3 = 1 THEN 4 ELSE 5 END AS n_keys
+FROM (SELECT *, row_number() OVER (ORDER BY conv_id, turn) - 1 AS line_no FROM conversations) WHERE line_no < {JSONL_TARGET}""")
+def jsonl_scan(spark, sf_dir):
+    """SRC-3, LIM-1: lines in file order up to a target (the feature), blank lines skipped, damage behind the target unseen."""
+    folder = _folder(spark, "lines")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.concat_ws("-", "conv_id", "turn").alias("id"), F.lit("p").alias("positive_prompt"), F.when(F.col("turn") % 3 != 1, F.col("role")).alias("negative_prompt"), F.lit(0).alias("shard_id"), F.col("turn").alias("seed"))
+    line = F.to_json(F.struct(*jsonl.ORDER))
+    lines = rows.orderBy("conv_id", "turn").select(F.explode(F.array(line, F.lit(""), F.lit("  "))).alias("value"))
+    lines.write.text(f"{folder}/1")
+    spark.createDataFrame([('{"id": damaged',)], "value string").write.text(f"{folder}/2")
+    found = jsonl.read_records(spark, f"{folder}/*", JSONL_TARGET)
+    return found.select("line_no", "id", "seed", "negative_prompt", F.size("keys").alias("n_keys"))
+
+
+@query("SELECT doc_id, doc_id IN (SELECT doc_id FROM labels) AS done FROM documents")
+def progress_resume(spark, sf_dir):
+    """SRC-6, SNK-9, FLT-7: marks appended by two runs, with repeats, are loaded, and what is left is pending."""
+    folder = _folder(spark, "progress")
+    docs, marks = table(spark, sf_dir, "documents").select("doc_id"), table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"))
+    before = progress.load(spark, folder)
+    first = progress.pending(marks.where("id % 2 = 0"), before, "sample")
+    progress.append(first, "sample", folder)
+    progress.append(marks, "sample", folder)
+    progress.append(docs.select(F.col("doc_id").alias("id")), "shard", folder)  # marks of another kind count for nothing
+    left = progress.pending(docs, progress.load(spark, folder), "sample", "doc_id").select("doc_id", F.lit(False).alias("done"))
+    done = progress.load(spark, folder).where("kind = 'sample'").select(F.col("id").cast("long").alias("doc_id"), F.lit(True).alias("done"))
+    return left.unionAll(done.join(docs, "doc_id", "left_semi"))
+
+
+@query("SELECT DISTINCT page_id // 100 AS shard_id, (page_id // 100) % 2 = 0 AS written_now FROM pages")
+def archives_present(spark, sf_dir):
+    """SRC-7, FLT-9: archives that stand under their names are listed, and only the other shards are written."""
+    folder = _folder(spark, "archives")
+    pages = table(spark, sf_dir, "pages")
+    rows = pages.select(F.expr("page_id div 100").alias("shard_id"), (F.col("page_id") % 100).alias("idx"), F.col("page_id").cast("string").alias("id"), F.col("html").cast("binary").alias("png"), F.lit("{}").alias("json"))
+    tar.write(rows.where("shard_id % 2 = 1"), folder, "shard").count()
+    before = tar.present(spark, folder, "shard").collect()  # a row an archive
+    there = spark.createDataFrame(before, "shard_id long")
+    tar.write(rows.join(there, "shard_id", "left_anti"), folder, "shard").count()
+    return tar.present(spark, folder, "shard").join(there.withColumn("old", F.lit(True)), "shard_id", "left").select("shard_id", F.col("old").isNull().alias("written_now"))
+
+
+IMAGE, SMALL = png.render("image", 1, 16), png.render("image", 1, 8)
+SIDECAR = "{" + ", ".join(f'"{k}": 1' for k in gates.METADATA) + "}"
+SAMPLES_SQL = """SELECT format('s{:04d}-r{:04d}', doc_id // 100, doc_id % 100) AS id,
+  CASE WHEN doc_id % 50 = 3 THEN 'decode error: cut short' WHEN doc_id % 70 = 1 THEN 'size 8x8, expected 16x16' WHEN doc_id % 90 = 2 THEN 'missing PNG data' END AS image,
+  CASE WHEN doc_id % 60 = 4 THEN 'missing metadata JSON' WHEN doc_id % 45 = 7 THEN 'missing fields guidance_scale, model_id, negative_prompt, num_inference_steps, resolution, scheduler, seed' END AS metadata FROM labels"""
+
+
+def _samples(spark, sf_dir):
+    d = F.col("doc_id")
+    image = F.when(d % 50 == 3, F.lit(IMAGE[:40])).when(d % 70 == 1, F.lit(SMALL)).when(d % 90 != 2, F.lit(IMAGE))
+    image = F.when((d % 90 == 2) & (d % 50 != 3) & (d % 70 != 1), F.lit(None).cast("binary")).otherwise(image)
+    sidecar = F.when(d % 60 == 4, F.lit(None).cast("string")).when(d % 45 == 7, '{"prompt": 1}').otherwise(SIDECAR)
+    return table(spark, sf_dir, "labels").select(shards.sample_id(F.expr("doc_id div 100"), F.expr("doc_id % 100")).alias("id"), image.alias("png"), sidecar.alias("json"))
+
+
+def _gate_sql(name: str, column: str, what: str) -> str:
+    return f"""SELECT '{name}' AS name, count({column}) = 0 AS passed, 'Checked ' || count(*) || ' {what}, ' || count({column}) || ' failures' AS details,
+      coalesce((SELECT array_to_string(list(id || ': ' || {column} ORDER BY id), '; ') FROM (SELECT * FROM s WHERE {column} IS NOT NULL ORDER BY id LIMIT {gates.LISTED})), '') AS failures FROM s"""
+
+
+GATES_SQL = {"image_gate": _gate_sql("image_integrity", "image", "images"), "metadata_gate": _gate_sql("metadata", "metadata", "metadata files")}
+
+
+def _told(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("failures", F.array_join("failures", "; "))
+
+
+@query(f"WITH s AS ({SAMPLES_SQL}) {GATES_SQL['image_gate']}")
+def image_gate(spark, sf_dir):
+    return _told(gates.image_gate(_samples(spark, sf_dir), 16))
+
+
+@query(f"WITH s AS ({SAMPLES_SQL}) {GATES_SQL['metadata_gate']}")
+def metadata_gate(spark, sf_dir):
+    return _told(gates.metadata_gate(_samples(spark, sf_dir)))
+
+
+@query(ORACLES["gate_report"].replace("WITH s AS", "WITH r AS").replace("FROM s", "FROM r").replace("id IN (SELECT id FROM r)", "id IN (SELECT id FROM r)").replace(
+    "f AS (SELECT", f"s AS ({SAMPLES_SQL}), f AS (SELECT", 1).replace("SELECT * FROM g UNION ALL", "SELECT * FROM h UNION ALL").replace("END, '' FROM g", "END, '' FROM h").replace(
+    "FROM f, n)", f"FROM f, n), h AS (SELECT * FROM g UNION ALL {GATES_SQL['image_gate']} UNION ALL {GATES_SQL['metadata_gate']})", 1))
+def validation_report(spark, sf_dir):
+    return _told(gates.validate(_samples(spark, sf_dir), 300, 100, 16))
+
+
+@query("""
+WITH g AS (SELECT name, passed, failures FROM (VALUES ('a', true, ''), ('b', false, 'x; y'), ('c', false, '')) AS t(name, passed, failures))
+SELECT name, failures FROM g WHERE NOT passed AND failures <> ''""")
+def failure_breakdown(spark, sf_dir):
+    """AGG-15."""
+    told = spark.createDataFrame([("a", True, []), ("b", False, ["x", "y"]), ("c", False, [])], "name string, passed boolean, failures array<string>")
+    return gates.failure_breakdown(told).withColumn("failures", F.array_join("failures", "; "))
+
+
+@query("""
+WITH l AS (SELECT conv_id, turn, '{"id": "' || conv_id || '", "role": "' || role || '", "turn": ' || turn || '}' AS line FROM conversations),
+b AS (SELECT conv_id // 100 AS b, count(*) AS n, sha256(string_agg(sha256(line), '' ORDER BY conv_id, turn)) AS d FROM l GROUP BY 1)
+SELECT CAST(sum(n) AS BIGINT) AS n, sha256(string_agg(d, '' ORDER BY b)) AS digest FROM b""")
+def ordered_digest(spark, sf_dir):
+    """SNK-3: over the bytes of the lines in order, block by block."""
+    lines = json_lines(spark, sf_dir).withColumn("block", F.expr("conv_id div 100"))
+    return jsonl.ordered_digest(lines, "line", ["conv_id", "turn"], "block")
+
+
+@query("""
+WITH p AS (SELECT lang, count(*) AS done, (SELECT count(*) FROM documents) AS total FROM documents GROUP BY lang)
+SELECT lang, done, total, round(100.0 * done / total, 1)::DOUBLE AS share FROM p""")
+def progress_share(spark, sf_dir):
+    """SNK-12, PRJ-14: shares of a total that is observed while the counts are written, without a job of its own."""
+    rows, seen = telemetry.observed(table(spark, sf_dir, "documents").select("lang"), "rows")
+    counts = written(rows.groupBy("lang").agg(F.count("*").alias("done")), "counts")
+    return counts.withColumn("total", F.lit(seen.get["n"])).withColumn("share", telemetry.percentage(F.col("done"), F.col("total")))

@@ -56,3 +56,17 @@ def write_records(records: DataFrame, path: str, order: list[str] = ["shard_id",
 def digest(records: DataFrame) -> DataFrame:
     """SNK-3: one row (n, digest): a digest of the records that doesn't depend on their order."""
     return records.agg(F.count("*").alias("n"), F.sum(F.xxhash64(*[F.col(c) for c in ORDER]).cast("decimal(38,0)")).cast("string").alias("digest"))
+
+
+def ordered_digest(lines: DataFrame, line: str, order: list[str], block: str) -> DataFrame:
+    """SNK-3: one row (n, digest): SHA-256 over the lines in order, as a tree of two levels.
+
+    A block's digest is of its lines' digests in order, the whole digest of the
+    blocks' digests in order of block.  block: a column that orders and cuts the
+    lines into parts that a task can hold.
+    """
+    leaf = F.struct(*order, F.sha2(F.col(line), 256).alias("_d"))
+    blocks = lines.groupBy(F.col(block).alias("_b")).agg(F.count("*").alias("n"), F.array_sort(F.collect_list(leaf)).alias("leaves"))
+    blocks = blocks.select("_b", "n", F.sha2(F.array_join(F.transform("leaves", lambda x: x["_d"]), ""), 256).alias("d"))
+    ordered = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_b", "d"))), lambda x: x["d"]), "")
+    return blocks.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n"), F.sha2(ordered, 256).alias("digest"))

@@ -9,14 +9,15 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-PREFIX = "anime-face"
+PREFIX = "anime-face"  # fixed value: how archives are named unless the caller says otherwise
 
 
-def shard_name(shard_id: int) -> str:
-    return f"{PREFIX}-{shard_id:06d}.tar"
+def shard_name(shard_id: int, prefix: str = PREFIX) -> str:
+    return f"{prefix}-{shard_id:06d}.tar"
 
 
 def _opened(path: str):
@@ -26,7 +27,7 @@ def _opened(path: str):
     return fs.FileSystem.from_uri(path) if re.match(r"\w+:/", path) else (fs.LocalFileSystem(), path)
 
 
-def write(samples: DataFrame, folder: str) -> DataFrame:
+def write(samples: DataFrame, folder: str, prefix: str = PREFIX) -> DataFrame:
     """SNK-8: samples (shard_id, idx, id, png, json) as a tar a shard; returns (shard_id, file, n, bytes).
 
     Rows are dealt by shard and sorted by place, so a task streams one shard after
@@ -43,8 +44,8 @@ def write(samples: DataFrame, folder: str) -> DataFrame:
             if now:
                 now[2].close()
                 now[1].close()
-                system.move(now[3], f"{root}/{shard_name(now[0])}")
-                done.append((now[0], shard_name(now[0]), now[4], now[5]))
+                system.move(now[3], f"{root}/{shard_name(now[0], prefix)}")
+                done.append((now[0], shard_name(now[0], prefix), now[4], now[5]))
 
         for batch in batches:
             for row in batch.to_pylist():
@@ -69,9 +70,18 @@ def write(samples: DataFrame, folder: str) -> DataFrame:
     return rows.repartition("shard_id").sortWithinPartitions("shard_id", "idx").mapInArrow(run, "shard_id long, file string, n long, bytes long")
 
 
-def members(spark: SparkSession, folder: str, glob: str = f"{PREFIX}-*.tar") -> DataFrame:
+def present(spark: SparkSession, folder: str, prefix: str = PREFIX) -> DataFrame:
+    """SRC-7: shard_id of the archives that stand under their names; listed, not read.  No folder: none."""
+    try:
+        paths = spark.read.format("binaryFile").option("pathGlobFilter", f"{prefix}-*.tar").load(folder).select("path")
+    except AnalysisException:
+        return spark.createDataFrame([], "shard_id long")
+    return paths.select(F.regexp_extract("path", r"-([0-9]+)\.tar$", 1).try_cast("long").alias("shard_id")).where("shard_id IS NOT NULL")
+
+
+def members(spark: SparkSession, folder: str, prefix: str = PREFIX) -> DataFrame:
     """(shard, id, ext, data) of every file of the archives; they are streamed, however large they are."""
-    paths = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder).select("path")
+    paths = spark.read.format("binaryFile").option("pathGlobFilter", f"{prefix}-*.tar").load(folder).select("path")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -87,13 +97,13 @@ def members(spark: SparkSession, folder: str, glob: str = f"{PREFIX}-*.tar") ->
     return paths.mapInArrow(run, "shard string, id string, ext string, data binary")
 
 
-def samples(spark: SparkSession, folder: str, last_wins: bool = True) -> DataFrame:
+def samples(spark: SparkSession, folder: str, last_wins: bool = True, prefix: str = PREFIX) -> DataFrame:
     """SRC-5: (id, png, json, shard): images with the JSON of the same archive and name.
 
     A JSON without an image is no sample.  With last_wins an id that is in several
     archives is taken from the last by name; else all are returned.
     """
-    found = members(spark, folder).where("ext IN ('png', 'json')")
+    found = members(spark, folder, prefix).where("ext IN ('png', 'json')")
     paired = found.groupBy("shard", "id").agg(F.max(F.when(F.col("ext") == "png", F.col("data"))).alias("png"), F.max(F.when(F.col("ext") == "json", F.col("data"))).cast("string").alias("json")).where("png IS NOT NULL")
     if last_wins:
         place = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("shard")))

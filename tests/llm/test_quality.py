@@ -1,14 +1,13 @@
+import functools
 import math
 import re
 from collections import Counter, defaultdict
 
 import numpy as np
-import pyarrow as pa
 import pytest
 
 from sieveworks.llm import quality
 from sieveworks.llm.queries import op1_ngram_perplexity
-from sieveworks.llm.words import chunks
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -37,50 +36,95 @@ def test_query_base_against_brute_force(spark, sf):
     assert sum(r.kept for r in passed) > 0.95 * len(passed)
 
 
-def brute_model(texts):
-    """Interpolated modified Kneser-Ney over dictionaries; returns a function of (context, symbol)."""
-    classes, counts = quality.byte_classes(), Counter()
-    for t in texts:
-        s = [0] * 3 + [int(classes[b]) for b in t.encode()]
-        counts.update(tuple(s[i - 3 : i + 1]) for i in range(3, len(s)))
-    orders = {4: counts}
-    for n in (3, 2, 1):
-        orders[n] = Counter(g[1:] for g in orders[n + 1])
-    discounts = {}
-    for n, c in orders.items():
-        m = [max(sum(v == i for v in c.values()), 1) for i in (1, 2, 3, 4)]
-        y = m[0] / (m[0] + 2 * m[1])
-        d = [1 - 2 * y * m[1] / m[0], 2 - 3 * y * m[2] / m[1], 3 - 4 * y * m[3] / m[2]]
-        discounts[n] = [min(max(a, 0.1), top) for a, top in zip(d, (0.9, 1.8, 2.7))]
-
-    def p(gram):
-        n = len(gram)
-        if n == 0:
-            return 1 / 64
-        around = {g: v for g, v in orders[n].items() if g[:-1] == gram[:-1]}
-        if not around:
-            return p(gram[1:])
-        cut = {g: min(discounts[n][min(v, 3) - 1], 0.9 * v) for g, v in around.items()}
-        total = sum(around.values())
-        return (around.get(gram, 0) - cut.get(gram, 0)) / total + sum(cut.values()) / total * p(gram[1:])
-
-    return p
-
-
-def test_kneser_ney_against_brute_force(spark):
-    texts = ["the cat sat on the mat. the dog ate the cat!", "a cat, a dog", "", "mat the that 12"]
-    model = quality.train(spark.createDataFrame([(t, "en") for t in texts], "text string, lang string"))["en"]
-    p, classes = brute_model(texts), quality.byte_classes()
-    unseen = "xq the zebra #1 é"
-    for text in [*texts[:2], unseen]:
-        s = [0] * 3 + [int(classes[b]) for b in text.encode()]
-        want = [math.log(p(tuple(s[i - 3 : i + 1]))) for i in range(3, len(s))]
-        [(_, part)] = chunks(pa.array([text]))
-        got = quality.log_probability(model, quality.codes(part, classes), quality.ORDER)
-        assert got == pytest.approx(want)
-    for context in ((0, 0, 0), (1, 2, 3), (20, 8, 5)):
-        keys = np.array([context[0] << 18 | context[1] << 12 | context[2] << 6 | w for w in range(64)], np.uint32)
-        assert np.exp(quality.log_probability(model, keys, 4)).sum() == pytest.approx(1)
+def brute_scores(docs):
+    """Interpolated modified Kneser-Ney of bigrams over dictionaries, each document's own occurrences taken out: nats a word."""
+
+    def symbol(lang, word):  # words of one symbol are one word to the model
+        salt = np.array([quality.language_salt(lang) + (word is None)], np.uint64)
+        data = np.frombuffer(word or b"", np.uint8)
+        hashed = salt if word is None else quality.byte_hashes(data, np.array([0]), np.array([len(data)]), 5) ^ salt
+        return int(quality.mixed(hashed)[0]) >> 44
+
+    symbol = functools.cache(symbol)
+
+    def grams(text, lang):
+        words = [symbol(lang, w.encode().lower()) for w in WORD.findall(text)]  # bytes: A-Z only
+        return list(zip([symbol(lang, None), *words], words))
+
+    def taken(few):
+        n = [max(x, 1) for x in few]
+        y = n[0] / (n[0] + 2 * n[1])
+        cut = [1 - 2 * y * n[1] / n[0], 2 - 3 * y * n[2] / n[1], 3 - 4 * y * n[3] / n[2]]
+        return [0, *(min(max(a, 0.1), top) for a, top in zip(cut, (0.9, 1.8, 2.7)))]
+
+    counts = Counter(g for text, lang in docs for g in grams(text, lang))
+    cut = taken([sum(v == i for v in counts.values()) for i in (1, 2, 3, 4)])
+    contexts, back, kinds = Counter(), Counter(), Counter()
+    for (a, b), n in counts.items():
+        contexts[a] += n
+        back[a] += cut[min(n, 3)]
+        kinds[b] += 1
+    low = taken([sum(v == i for v in kinds.values()) for i in (1, 2, 3, 4)])
+    gone, total = {w: min(low[min(n, 3)], 0.9 * n) for w, n in kinds.items()}, sum(kinds.values())
+    lower = {w: (n - gone[w]) / total + sum(gone.values()) / total / quality.SYMBOLS_OF_MODEL for w, n in kinds.items()}
+    out = []
+    for text, lang in docs:
+        own = Counter(grams(text, lang))
+        log_p = 0.0
+        for (a, b), n in own.items():
+            left = counts[a, b] - n
+            log_p += n * math.log(max(left - cut[min(left, 3)], 0) / contexts[a] + back[a] / contexts[a] * lower[b])
+        out.append(-log_p / sum(own.values()) if own else None)
+    return out
+
+
+def test_kneser_ney_against_brute_force(spark, sf, monkeypatch):
+    """Every score of every document, also where units and parts are many."""
+    rows = [(r.doc_id, r.text or "", r.lang) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    rows += [(-1, "The cat  sat\ton the mat the cat sat", "en"), (-2, "the CAT sat on a dog", "en"), (-3, "the cat sat on a dog", None), (-4, "", "en"), (-5, " one ", "xx")]
+    want = dict(zip((r[0] for r in rows), brute_scores([(t, lang) for _, t, lang in rows])))
+    for unit, part in ((1 << 21, 1 << 21), (500, 2000)):
+        monkeypatch.setattr(quality, "UNIT_WORDS", unit)
+        monkeypatch.setattr(quality, "PART_WORDS", part)
+        df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+        got = {r.doc_id: r.log_perplexity for r in quality.score(df).collect()}
+        assert set(got) == set(want)
+        for d, x in want.items():
+            assert got[d] is None if x is None else got[d] == pytest.approx(x, rel=1e-4), d
+
+
+def test_model_sums_to_one(spark):
+    df = spark.createDataFrame([(1, "a b a c a b d " * 4, "en"), (2, "a e f", "en")], "doc_id long, text string, lang string")
+    shuffled = quality.sent(df)
+    model, part = quality.train(shuffled), quality.Part([bytes(r.blob) for r in shuffled.collect() if r.blob is not None])
+    context, word = quality.symbols_of(part.keys)
+    assert model.lower.sum(dtype=float) == pytest.approx(1, rel=1e-4)
+    for c in set(context.tolist()):
+        mine = context == c
+        seen = np.exp(model.log_probability(part.keys[mine], part.counts[mine])).sum()
+        assert seen + model.back[c] * (1 - model.lower[word[mine]].sum(dtype=float)) == pytest.approx(1, rel=1e-4)
+
+
+def test_packing_round_trip():
+    rng = np.random.default_rng(2)
+    keys = np.sort(rng.integers(0, quality.ALL_KEYS, 5000).astype(np.uint64))
+    docs, times = rng.integers(0, 1 << 16, 5000), rng.integers(1, 1 << 31, 5000)
+    for a, b in zip(quality.unpacked(quality.packed(keys, docs, times)), (keys, docs, times)):
+        assert (a == b).all()
+
+
+def test_shuffled_words_are_rejected(spark):
+    """Texts of a grammar, and the same words in random order: the first stay, the others go."""
+    import random
+
+    rng = random.Random(6)
+    nouns, verbs, places = ([f"{k}{i}" for i in range(25)] for k in ("noun", "verb", "place"))
+    said = lambda: f"the {rng.choice(nouns)} has {rng.choice(verbs)} to an old {rng.choice(places)} because nobody {rng.choice(verbs)} in their {rng.choice(nouns)} ."
+    plain = [" ".join(said() for _ in range(rng.randrange(5, 12))) for _ in range(400)]
+    mixed = [" ".join(rng.sample(w, len(w))) for w in (t.split() for t in (" ".join(said() for _ in range(8)) for _ in range(20)))]
+    df = spark.createDataFrame([(i, t, "en") for i, t in enumerate(plain + mixed)], "doc_id long, text string, lang string").repartition(4)
+    kept = {r.doc_id for r in quality.judge(df).collect() if r.kept}
+    assert len(kept & set(range(400))) >= 396 and not kept & set(range(400, 420))
 
 
 def test_bands_reject_what_is_unlike_and_too_plain(spark):

@@ -179,18 +179,20 @@ def capture_ids(records: DataFrame) -> DataFrame | None:
     most, which names none itself, as archives mostly have it: that one names the
     capture, and no components need be sought.
     """
-    links = records.where("record_id IS NOT NULL").select("record_id", F.explode("concurrent_to").alias("to"))
-    links = materialize(links.where("to <> record_id").distinct(), "concurrent")
-    several = links.groupBy("record_id").agg(F.count("*").alias("n")).where("n > 1").select("record_id")
-    onward = links.join(links.select(F.col("record_id").alias("of")), F.col("to") == F.col("of"), "left_semi").select("record_id")
+    named = records.where("record_id IS NOT NULL").select("record_id", F.explode("concurrent_to").alias("to")).where("to <> record_id")
+    # 64-bit hashes, not identifiers, tell whether components have to be sought.
+    pairs = materialize(named.select(F.xxhash64("record_id").alias("a"), F.xxhash64("to").alias("b")).distinct(), "concurrent")
+    several = pairs.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a")
+    onward = pairs.join(pairs.select(F.col("a").alias("of")), F.col("b") == F.col("of"), "left_semi").select("a")
     if not several.unionAll(onward).limit(1).count():
         return None
+    links = materialize(named.distinct(), "links")
     found = materialize(components(links.select(F.col("record_id").alias("a"), F.col("to").alias("b"))), "linked")
     every = found.unionAll(found.select(F.col("root").alias("node"), "root").distinct())
     answers = records.where("record_type IN ('response', 'revisit')").select(F.col("record_id").alias("answer"))
-    named = every.join(answers, every.node == answers.answer, "left").groupBy(F.col("root").alias("of")).agg(F.coalesce(F.min("answer"), F.first("root")).alias("capture"))
-    named = materialize(named, "named")
-    return every.join(named, every.root == named.of).select(F.col("node").alias("of"), "capture")
+    captures = every.join(answers, every.node == answers.answer, "left").groupBy(F.col("root").alias("of")).agg(F.coalesce(F.min("answer"), F.first("root")).alias("capture"))
+    captures = materialize(captures, "named")
+    return every.join(captures, every.root == captures.of).select(F.col("node").alias("of"), "capture")
 
 
 def assemble(records: DataFrame) -> DataFrame:

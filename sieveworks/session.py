@@ -53,7 +53,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """df as Parquet in the shared folder: computed once, and safe when executors are lost.  cleanup() deletes it."""
     spark = df.sparkSession
     path = f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
